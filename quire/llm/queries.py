@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 
 from quire.engine import table
 from quire.llm.line_dedup import dedup_lines
+from quire.llm.simhash import near_duplicates
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = dedup_lines(docs)
     return out.select("doc_id", "line_dedup.n_lines", "line_dedup.n_dropped", F.sha2("line_dedup.text", 256).alias("kept_sha256"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
