@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.engine import table
 from quire.llm.line_dedup import dedup_lines
+from quire.llm.packing import pack
 from quire.llm.simhash import near_duplicates
 
 
@@ -19,3 +21,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.withColumnsRenamed({"id": "doc_id", "crc": "ids_crc32"})
