@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.engine import table
+from quire.llm.bpe import round_trip
 from quire.llm.line_dedup import dedup_lines
 from quire.llm.packing import pack
 from quire.llm.simhash import near_duplicates
@@ -26,3 +27,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return out.withColumnsRenamed({"id": "doc_id", "crc": "ids_crc32"})
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
