@@ -10,6 +10,7 @@ from quire.engine import table
 from quire.llm.bpe import round_trip
 from quire.llm.line_dedup import dedup_lines
 from quire.llm.packing import pack
+from quire.llm.repeats import remove_repeats
 from quire.llm.simhash import near_duplicates
 
 
@@ -31,3 +32,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+
+
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
+    return out.select("doc_id", "repeats.n_bytes", "repeats.n_removed", "repeats.n_spans", "repeats.kept_sha256")
