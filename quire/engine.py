@@ -7,6 +7,7 @@ of our own is chosen only where that setting is absent (a local test session).
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -58,6 +59,19 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as compressed Parquet below the shared folder; the caller deletes the path when it is done."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished phases now, not when the driver happens to collect garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
