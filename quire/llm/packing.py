@@ -21,6 +21,7 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,9 @@ from pyspark.sql.window import Window
 from quire.engine import cut
 from quire.llm.common import arrow_map
 
-CACHE_WORDS = 300_000
+#: The vocabulary's own split of normalised text (fixed value).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+CACHE_WORDS = 400_000
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -38,6 +41,10 @@ class WordEncoder:
 
     A space or a line feed ends a pre-token in this vocabulary, white space yields no token, and
     normalisation never looks across white space; so a text's ids are those of its words in turn.
+    Words of Latin-1 letters are lower-cased and split into pre-tokens here (normalisation does no
+    more to them), so that "word", "Word" and "word," share one entry, and the library encodes all
+    new pre-tokens as one text: each ends with the one token that carries the end-of-word mark.
+    Any other word goes to the library as it stands.
     """
 
     def __init__(self, path: str) -> None:
@@ -47,18 +54,46 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cache: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(1 + max(vocabulary.values()), dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.split = regex.compile(PATTERN).findall
+        self.words: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {}
+
+    def _each(self, new: list[str]) -> dict[str, bytes]:
+        """Words one by one."""
+        found = self.tokenizer.encode_batch(new, add_special_tokens=False)
+        return {w: array("I", f.ids).tobytes() for w, f in zip(new, found, strict=True)}
+
+    def _together(self, new: list[str]) -> dict[str, bytes]:
+        """Pre-tokens as one text, cut after each end-of-word token."""
+        ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
+        ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        if len(ends) != len(new):
+            return self._each(new)
+        raw = ids.tobytes()
+        return {w: raw[a:b] for w, a, b in zip(new, [0, *ends[:-1].tolist()], ends.tolist(), strict=True)}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*split) - self.cache.keys())
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache = {"": b""}
-            new = [w for w in set().union(*split) if w]
-        cache = self.cache
-        for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            cache[word] = array("I", found.ids).tobytes()
-        return [b"".join(map(cache.__getitem__, words)) for words in split]
+        wanted = set().union(*split)
+        if len(self.words) > CACHE_WORDS:  # what this batch uses stays
+            self.words = {"": b""} | {w: self.words[w] for w in wanted if w in self.words}
+        if len(self.parts) > CACHE_WORDS:
+            self.parts = {}
+        plain, other = {}, []
+        for w in wanted - self.words.keys():
+            if (w.isascii() or max(w) < "\u0100") and "<|" not in w:
+                plain[w] = self.split(w.lower())
+            else:
+                other.append(w)
+        new = list(set().union(*plain.values()) - self.parts.keys())
+        self.parts |= self._together(new) if new else {}
+        part = self.parts.__getitem__
+        self.words |= {w: b"".join(map(part, p)) if len(p) != 1 else part(p[0]) for w, p in plain.items()}
+        self.words |= self._each(other) if other else {}
+        return [b"".join(map(self.words.__getitem__, words)) for words in split]
 
 
 def encoder(path: str) -> WordEncoder:
