@@ -61,8 +61,8 @@ def unpacked(df: DataFrame, result: Column, out: str) -> DataFrame:
     return df.select("row.*", result.alias(out))
 
 
-def split_hot(rows: DataFrame, lookup: DataFrame, keys: list[str], weight: str, total: int, shares: int = 2000) -> DataFrame:
-    """Inner join of ``rows`` with a ``lookup`` that is unique by ``keys``, safe for hot keys.
+def split_hot(rows: DataFrame, lookup: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner", shares: int = 2000) -> DataFrame:
+    """Join of ``rows`` with a ``lookup`` that is unique by ``keys``, safe for hot keys; inner or left.
 
     ``lookup[weight]`` is at most the number of ``rows`` with that key, and the weights sum to at
     most ``total``; so fewer than ``shares`` keys can weigh more than ``total / shares``.  Those
@@ -70,4 +70,4 @@ def split_hot(rows: DataFrame, lookup: DataFrame, keys: list[str], weight: str,
     """
     line = F.col(weight) * shares > F.lit(total)
     hot, cold = F.broadcast(lookup.where(line)), lookup.where(~line)
-    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys))
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys, how))

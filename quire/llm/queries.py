@@ -10,8 +10,19 @@ from quire.engine import table
 from quire.llm.bpe import round_trip
 from quire.llm.line_dedup import dedup_lines
 from quire.llm.packing import pack
+from quire.llm.quality import quality_rules
 from quire.llm.repeats import remove_repeats
 from quire.llm.simhash import near_duplicates
+from quire.llm.url_filter import judge_urls
+
+#: The production rules of op9: (verdict, host, path).
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,3 +48,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
     return out.select("doc_id", "repeats.n_bytes", "repeats.n_removed", "repeats.n_spans", "repeats.kept_sha256")
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("th", "host", "removed")
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES).withColumnRenamed("id", "page_id")
