@@ -14,6 +14,7 @@ vocabulary's own pattern; texts with any other white space go through that patte
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
@@ -32,6 +33,7 @@ from quire.llm.common import arrow_map
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CACHE_WORDS = 250_000
 LONG_WORD = 100
+SHORT_WORD = 40
 _CODECS: dict[str, BpeCodec] = {}
 
 
@@ -63,23 +65,25 @@ class BpeCodec:
         self.single = [self.id_of[bytes([b])] for b in range(256)]
 
         # Merges: rank by pair, and for each token the merge that makes it (rank -1: a single byte).
-        self.pair_rank: dict[tuple[int, int], int] = {}
+        self.pair_rank: dict[int, int] = {}  # by left * size + right
         self.made, self.left, self.right = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size, np.int64)
         self.result: list[int] = []
         for rank, merge in enumerate(spec["model"]["merges"]):
             a, b = merge.split(" ") if isinstance(merge, str) else merge
             pair, both = (text_id[a], text_id[b]), text_id[a + b]
-            self.pair_rank[pair] = rank
+            self.pair_rank[pair[0] * size + pair[1]] = rank
             self.result.append(both)
             if self.made[both] < 0:
                 self.made[both], self.left[both], self.right[both] = rank, *pair
         self.size = size
-        keys = np.array([a * size + b for a, b in self.pair_rank], dtype=np.int64)
+        keys = np.array(list(self.pair_rank), dtype=np.int64)
         order = np.argsort(keys)
         self.keys, self.ranks = keys[order], np.array(list(self.pair_rank.values()), dtype=np.int64)[order]
 
         self.proposable = {b: i for b, i in self.id_of.items() if len(b) == 1 or self.merge(b) == [i]}
-        self.longest = max(map(len, self.proposable), default=1)
+        self.reach: dict[bytes, int] = {}
+        for entry in self.proposable:
+            self.reach[entry[:3]] = max(len(entry), self.reach.get(entry[:3], 0))
         self.split = regex.compile(PATTERN).findall
         self.odd_space = re.compile(r"[ \n][ \n]|[^\S \n]|[\x1c-\x1f]|\A[ \n]|[ \n]\Z").search
         self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -89,9 +93,27 @@ class BpeCodec:
     def merge(self, word: bytes) -> list[int]:
         """The exact encoding: merge the lowest-ranked pair, leftmost first, until none is left."""
         ids = [self.single[b] for b in word]
-        n, rank_of = len(ids), self.pair_rank.get
+        return self._merge_short(ids) if len(ids) <= SHORT_WORD else self._merge_long(ids)
+
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        size, rank_of, result = self.size, self.pair_rank.get, self.result
+        none = len(result)
+        ranks = [rank_of(a * size + b, none) for a, b in zip(ids, ids[1:], strict=False)]
+        while ranks and (rank := min(ranks)) < none:
+            i = ranks.index(rank)
+            ids[i] = result[rank]
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = rank_of(ids[i - 1] * size + ids[i], none)
+            if i < len(ranks):
+                ranks[i] = rank_of(ids[i] * size + ids[i + 1], none)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap and linked neighbours, for words of any length."""
+        n, size, rank_of = len(ids), self.size, self.pair_rank.get
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := rank_of((ids[i], ids[i + 1]))) is not None]
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := rank_of(ids[i] * size + ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
             rank, i, a, b = heapq.heappop(heap)
@@ -102,22 +124,24 @@ class BpeCodec:
             k = after[i] = after[j]
             if k >= 0:
                 before[k] = i
-                if (r := rank_of((ids[i], ids[k]))) is not None:
+                if (r := rank_of(ids[i] * size + ids[k])) is not None:
                     heapq.heappush(heap, (r, i, ids[i], ids[k]))
             h = before[i]
-            if h >= 0 and (r := rank_of((ids[h], ids[i]))) is not None:
+            if h >= 0 and (r := rank_of(ids[h] * size + ids[i])) is not None:
                 heapq.heappush(heap, (r, h, ids[h], ids[i]))
         return [i for i in ids if i >= 0]
 
     def propose(self, word: bytes) -> list[int]:
-        """Greedy longest match."""
-        out, at, n, find, most = [], 0, len(word), self.proposable.get, self.longest
+        """Greedy longest match; ``reach`` tells how long entries with the next three bytes get."""
+        out, at, n, find, reach = [], 0, len(word), self.proposable.get, self.reach.get
         while at < n:
-            for end in range(min(n, at + most), at, -1):
-                if (i := find(word[at:end])) is not None:
-                    out.append(i)
-                    at = end
-                    break
+            end = at + reach(word[at : at + 3], 2)
+            if end > n:
+                end = n
+            while (i := find(word[at:end])) is None:
+                end -= 1
+            out.append(i)
+            at = end
         return out
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -163,36 +187,61 @@ class BpeCodec:
         return first, rest
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        if len(self.words) > CACHE_WORDS or len(self.units) > CACHE_WORDS:
-            self.words, self.units = {}, {}
-        cut = [self._units(t) for t in texts]
-        odd = {k: [p if p in self.special else self.split(p) for p in (self.at_special.split(t) if self.at_special else [t])] for k, (t, c) in enumerate(zip(texts, cut, strict=True)) if c is None}
-        firsts = {k: self.split(c[0]) for k, c in enumerate(cut) if c}
-        new_units = set().union(*(c[1] for c in cut if c)) - self.units.keys()
-        parts = {u: self.split(u if u[0] == "\n" else " " + u) for u in new_units}
-        wanted = set().union(*parts.values(), *firsts.values(), *(p for ps in odd.values() for p in ps if not isinstance(p, str)))
-        words = {w: self.words[w] for w in wanted if w in self.words}
-        fresh = self.learn_words(wanted - words.keys())
-        words |= fresh
-        self.words |= {w: ids for w, ids in fresh.items() if len(w) <= LONG_WORD}
-        units = {u: tuple(chain.from_iterable(map(words.__getitem__, p))) for u, p in parts.items()}
-        self.units |= {u: ids for u, ids in units.items() if len(u) <= LONG_WORD}
-        long_units = {u: ids for u, ids in units.items() if len(u) > LONG_WORD}
-        known = self.units | long_units if long_units and len(self.units) < 1000 else self.units
-        out = []
-        for k, c in enumerate(cut):
-            if c is None:
-                ids: list[int] = []
-                for p in odd[k]:
-                    ids += [self.special[p]] if isinstance(p, str) else chain.from_iterable(map(words.__getitem__, p))
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here makes cycles, and scanning the caches over and over is slow
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        if len(self.units) > CACHE_WORDS:
+            self.units = {}
+        if len(self.words) > CACHE_WORDS:
+            self.words = {}
+        plans, new, get = [], set(), self.units.get
+        pre: set[str] = set()  # pre-tokens of first units and of texts with odd white space
+        for text in texts:
+            if (cut := self._units(text)) is None:
+                pieces = self.at_special.split(text) if self.at_special else [text]
+                head = [p if p in self.special else self.split(p) for p in pieces]
+                found, gaps, missing = [], [], []
+            else:
+                head, units = [self.split(cut[0])], cut[1]
+                found = list(map(get, units))
+                gaps = [k for k, v in enumerate(found) if v is None] if None in found else []
+                missing = [units[k] for k in gaps]
+                new.update(missing)
+            pre.update(*(p for p in head if not isinstance(p, str)))
+            plans.append((head, found, gaps, missing))
+
+        single, several = {}, {}
+        for u in new:  # most units are letters alone, or letters and one mark
+            if u.isalpha():
+                single[u] = " " + u
+            elif u[-1] in ".,;:!?" and u[:-1].isalpha():
+                several[u] = (" " + u[:-1], u[-1])
             else:
-                ids = list(chain.from_iterable(map(words.__getitem__, firsts[k])))
-                rest = c[1]
-                if long_units and any(u in long_units for u in rest):
-                    ids += chain.from_iterable(long_units.get(u) or known[u] for u in rest)
-                else:
-                    ids += chain.from_iterable(map(known.__getitem__, rest))
+                several[u] = self.split(u if u[0] == "\n" else " " + u)
+        pre.update(single.values(), *several.values())
+        self.words |= self.learn_words(pre - self.words.keys())
+        word, units = self.words.__getitem__, self.units
+        units |= {u: word(p) for u, p in single.items()}
+        units |= {u: tuple(chain.from_iterable(map(word, p))) for u, p in several.items()}
+
+        out = []
+        for head, found, gaps, missing in plans:
+            ids: list[int] = []
+            for p in head:
+                ids += [self.special[p]] if isinstance(p, str) else chain.from_iterable(map(word, p))
+            for k, u in zip(gaps, missing, strict=True):
+                found[k] = units[u]
+            ids += chain.from_iterable(found)
             out.append(ids)
+        for cache, keys in ((self.words, pre), (units, new)):  # very long ones aren't kept
+            for key in [w for w in keys if len(w) > LONG_WORD]:
+                cache.pop(key, None)
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
