@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from quire.engine import table
 from quire.llm.bpe import round_trip
+from quire.llm.licence_scan import scan_licences
+from quire.llm.licences import PHRASES, TEMPLATES
 from quire.llm.line_dedup import dedup_lines
 from quire.llm.packing import pack
 from quire.llm.quality import quality_rules
@@ -56,3 +58,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES).withColumnRenamed("id", "page_id")
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents"), TEMPLATES, PHRASES).withColumnRenamed("id", "doc_id").drop("spans")
