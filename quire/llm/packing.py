@@ -32,7 +32,7 @@ from quire.llm.common import arrow_map
 
 #: The vocabulary's own split of normalised text (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -50,10 +50,14 @@ class WordEncoder:
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # The same model for pre-tokens that are normalised and split already.
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = Sequence([Split(" ", "removed"), ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(1 + max(vocabulary.values()), dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -63,37 +67,59 @@ class WordEncoder:
 
     def _each(self, new: list[str]) -> dict[str, bytes]:
         """Words one by one."""
-        found = self.tokenizer.encode_batch(new, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         return {w: array("I", f.ids).tobytes() for w, f in zip(new, found, strict=True)}
 
     def _together(self, new: list[str]) -> dict[str, bytes]:
         """Pre-tokens as one text, cut after each end-of-word token."""
-        ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
+        ids = np.array(self.bare.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
         if len(ends) != len(new):
             return self._each(new)
-        raw = ids.tobytes()
-        return {w: raw[a:b] for w, a, b in zip(new, [0, *ends[:-1].tolist()], ends.tolist(), strict=True)}
+        raw, ends = ids.tobytes(), ends.tolist()
+        return {w: raw[a:b] for w, a, b in zip(new, [0, *ends[:-1]], ends, strict=True)}
+
+    def _learn(self, new: set[str]) -> None:
+        whole, marked, mixed, other = {}, {}, {}, []
+        for w in new:
+            if not (w.isascii() or max(w) < "\u0100") or "<|" in w:
+                other.append(w)
+            elif w.isalpha():
+                whole[w] = w.lower()
+            elif w[-1] in ".,;:!?" and w[:-1].isalpha():
+                marked[w] = w[:-1].lower()
+            else:
+                mixed[w] = self.split(w.lower())
+        wanted = {*whole.values(), *marked.values(), *(w[-1] for w in marked)}.union(*mixed.values())
+        parts = self.parts
+        if fresh := list(wanted - parts.keys()):
+            parts |= self._together(fresh)
+        words = self.words
+        words |= {w: parts[p] for w, p in whole.items()}
+        words |= {w: parts[p] + parts[w[-1]] for w, p in marked.items()}
+        words |= {w: b"".join(map(parts.__getitem__, p)) for w, p in mixed.items()}
+        if other:
+            words |= self._each(other)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        wanted = set().union(*split)
-        if len(self.words) > CACHE_WORDS:  # what this batch uses stays
-            self.words = {"": b""} | {w: self.words[w] for w in wanted if w in self.words}
+        if len(self.words) > CACHE_WORDS:
+            self.words = {"": b""}
         if len(self.parts) > CACHE_WORDS:
             self.parts = {}
-        plain, other = {}, []
-        for w in wanted - self.words.keys():
-            if (w.isascii() or max(w) < "\u0100") and "<|" not in w:
-                plain[w] = self.split(w.lower())
-            else:
-                other.append(w)
-        new = list(set().union(*plain.values()) - self.parts.keys())
-        self.parts |= self._together(new) if new else {}
-        part = self.parts.__getitem__
-        self.words |= {w: b"".join(map(part, p)) if len(p) != 1 else part(p[0]) for w, p in plain.items()}
-        self.words |= self._each(other) if other else {}
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+        found, new, get = [], set(), self.words.get
+        for text in texts:
+            words = text.replace("\n", " ").split(" ")
+            ids = list(map(get, words))
+            gaps = [k for k, v in enumerate(ids) if v is None] if None in ids else []
+            missing = [words[k] for k in gaps]
+            new.update(missing)
+            found.append((ids, gaps, missing))
+        if new:
+            self._learn(new)
+        for ids, gaps, missing in found:
+            for k, w in zip(gaps, missing, strict=True):
+                ids[k] = self.words[w]
+        return [b"".join(ids) for ids, _, _ in found]
 
 
 def encoder(path: str) -> WordEncoder:
