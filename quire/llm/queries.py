@@ -14,8 +14,10 @@ from quire.llm.line_dedup import dedup_lines
 from quire.llm.packing import pack
 from quire.llm.quality import quality_rules
 from quire.llm.repeats import remove_repeats
+from quire.llm.sharding import hilbert_shards
 from quire.llm.simhash import near_duplicates
 from quire.llm.url_filter import judge_urls
+from quire.llm.winnowing import compare_with_next
 
 #: The production rules of op9: (verdict, host, path).
 URL_RULES = [
@@ -62,3 +64,14 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(table(spark, sf_dir, "documents"), TEMPLATES, PHRASES).withColumnRenamed("id", "doc_id").drop("spans")
+
+
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = hilbert_shards(table(spark, sf_dir, "documents"))
+    return out.select(
+        F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve"
+    )
