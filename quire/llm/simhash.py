@@ -107,3 +107,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     groups = member.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n"))
     named = split_hot(member, groups, ["root"], "n", member.count()).select("fp", "copies", "component_id")
     return split_hot(fps, named, ["fp"], "copies", fps.count()).select("id", "fp", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bucket: int = 32) -> DataFrame:
+    """The input rows without near copies: of each component the row with the smallest id stays.
+
+    Rows that share the smallest id count as one document, and one of them stays.  Rows with a null
+    id can't stand for a component; they all stay.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, shingle=shingle, bucket=bucket).where("id = component_id").select(F.col("id").alias("k_id"))
+    keepers = cut(found.groupBy("k_id").agg(F.count(F.lit(1)).alias("rows")))
+    named = docs.join(keepers.select("k_id"), F.col(id_col) == F.col("k_id"), "left_semi")
+    if not keepers.where("rows > 1").isEmpty():
+        named = named.dropDuplicates([id_col])
+    return named.unionByName(docs.where(F.col(id_col).isNull()))
