@@ -15,8 +15,8 @@ repeat within contexts of equal anchor grams, and those form one part:
   gathered in a task.  Its windows are hashed and counted instead, which is as exact and spreads.
 
 Only hashes and places are shuffled for all documents; context bytes move for contexts that share an
-anchor but differ, one representative each.  The texts are shuffled once, by id, and that exchange
-serves both the fetching of contexts and the final removal.
+anchor but differ, one representative each.  The texts are shuffled twice, by id: to cut the contexts
+out and to remove the spans.  Between the phases finished shuffles are given back.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.engine import cut
+from quire.engine import cut, delete_path, release, stored
 from quire.llm.common import arrow_map, split_hot
 
 _BYTE_HASH = np.random.default_rng(20).integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -160,100 +160,152 @@ def _occurrences(base: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _fetch(base: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """Context bytes of representatives: rows (a, c, offset, crowded, bytes)."""
-    lists = wanted.groupBy(F.col("id").alias("w_id"), F.col("th").alias("w_th")).agg(F.collect_list(F.struct("a", "c", "at", "windows", "offset", "crowded")).alias("wanted"))
-    # All columns of base go in, so that the exchange of texts below is the one the removal reads.
-    met = base.join(lists, F.col("id").eqNullSafe(F.col("w_id")) & (F.col("th") == F.col("w_th"))).select(*base.columns, "wanted")
+    """Context bytes of representatives: the columns of ``wanted`` and bytes."""
+    fields = [c for c in wanted.columns if c not in ("id", "th")]
+    lists = wanted.groupBy(F.col("id").alias("w_id"), F.col("th").alias("w_th")).agg(F.collect_list(F.struct(*fields)).alias("wanted"))
+    met = base.select("id", "th", F.col("text").cast("binary").alias("text")).join(lists, F.col("id").eqNullSafe(F.col("w_id")) & (F.col("th") == F.col("w_th")))
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
-            out = {k: [] for k in ("a", "c", "offset", "crowded", "bytes")}
-            for text, wants in zip(batch["text"], batch["wanted"], strict=True):
-                data = text.encode()
+            out = {k: [] for k in ("id", "th", *fields, "bytes")}
+            for i, th, data, wants in zip(batch["id"], batch["th"], batch["text"], batch["wanted"], strict=True):
                 for w in wants:
-                    value = (w["a"], w["c"], w["offset"], w["crowded"], data[w["at"] : w["at"] + w["windows"] - 1 + length])
-                    for key, v in zip(out, value, strict=True):
+                    for key, v in zip(out, (i, th, *w.values(), data[w["at"] : w["at"] + w["windows"] - 1 + length]), strict=True):
                         out[key].append(v)
             yield out
 
-    return arrow_map(met, rows, "a long, c long, offset int, crowded boolean, bytes binary")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in wanted.select("id", "th", *fields).schema)
+    return arrow_map(met.select("id", "th", "text", "wanted"), rows, f"{kinds}, bytes binary")
 
 
-SPANS = "a long, c long, spans array<struct<lo: int, hi: int>>"
+PLACED = "id long, th long, at long, spans array<struct<lo: long, hi: long>>"
 
 
 def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
-    """The suffix-array way, a part at a time: rows (a, c, spans)."""
+    """The suffix-array way, a part at a time: rows (id, th, at, spans) of the contexts that occur once."""
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
-        part, names, now = [], [], None
+        part, places, now = [], [], None
 
         def flush() -> dict:
-            found = covered(part, length) if len(part) > 1 else []
-            kept = [(c, s) for c, s in zip(names, found, strict=False) if s]
-            return {"a": [now] * len(kept), "c": [c for c, _ in kept], "spans": [[{"lo": a, "hi": b} for a, b in s] for _, s in kept]}
+            found = [(p, s) for p, s in zip(places, covered(part, length), strict=True) if s and p]
+            spans = [[{"lo": a, "hi": b} for a, b in s] for _, s in found]
+            return {key: [p[k] for p, _ in found] for k, key in enumerate(("id", "th", "at"))} | {"spans": spans}
 
         for batch in batches:
-            for a, c, offset, data in zip(batch["a"], batch["c"], batch["offset"], batch["bytes"], strict=True):
+            for a, n, i, th, at, offset, data in zip(*(batch[k] for k in ("a", "n", "id", "th", "at", "offset", "bytes")), strict=True):
                 if a != now:
                     if len(part) > 1:
                         yield flush()
-                    part, names, now = [], [], a
+                    part, places, now = [], [], a
                 part.append((data, offset))
-                names.append(c)
+                places.append((i, th, at) if n == 1 else None)
         if len(part) > 1:
             yield flush()
 
-    return arrow_map(contexts.select("a", "c", "offset", "bytes").repartition("a").sortWithinPartitions("a"), rows, SPANS)
+    columns = contexts.select("a", "n", "id", "th", "at", "offset", "bytes")
+    return arrow_map(columns.repartition("a").sortWithinPartitions("a"), rows, PLACED)
 
 
-def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
-    """The counting way for crowded parts: rows (a, c, spans)."""
+def _strips(data: bytes, offset: int, length: int, size: int, within: tuple[int, int] | None) -> Iterator[tuple]:
+    """Strips of ``size`` windows of a context: (first, windows here, core hash, union hash or None).
 
-    def windows(batches: Iterator[dict]) -> Iterator[dict]:
-        for batch in batches:
-            out = {k: [] for k in ("a", "c", "h", "w")}
-            for a, c, offset, data in zip(batch["a"], batch["c"], batch["offset"], batch["bytes"], strict=True):
-                n = len(data) - length + 1
-                out["a"] += [a] * n
-                out["c"] += [c] * n
-                out["h"] += [signed(xxhash.xxh64_intdigest(data[w : w + length], 1000 + offset - w)) for w in range(n)]
-                out["w"] += range(n)
-            yield out
+    Strips are aligned at the anchor, so that equal windows of two contexts fall in the same strip.
+    The core is what all windows of the strip share, the union what any of them has; the union is
+    None if the context ends within the strip.  ``within`` limits the windows, (first, last + 1).
+    """
+    first, end = within or (0, len(data) - length + 1)
+    for strip in range((first - offset) // size, (end - 1 - offset) // size + 1):
+        low = strip * size + offset
+        core = xxhash.xxh64_intdigest(data[low + size - 1 : low + length], 2 * (strip & 0xFFFF))
+        whole = low >= 0 and low + size <= len(data) - length + 1
+        union = xxhash.xxh64_intdigest(data[low : low + size - 1 + length], 2 * (strip & 0xFFFF) + 1) if whole else 0
+        a, b = max(low, first), min(low + size, end)
+        yield a, b - a, signed(core), signed(union) if whole else None
 
-    rows = cut(arrow_map(contexts.select("a", "c", "offset", "bytes"), windows, "a long, c long, h long, w int"))
-    again = rows.groupBy("a", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    found = split_hot(rows, again, ["a", "h"], "n", rows.count())
-    return found.groupBy("a", "c").agg(F.transform(F.sort_array(F.collect_set("w")), lambda w: F.struct(w.alias("lo"), (w + length).alias("hi"))).alias("spans"))
+
+def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
+    """The counting way for crowded parts: rows (id, th, at, spans), at 0.
+
+    Windows are counted by strips, and strips that are neither repeated nor new as a whole are cut
+    into eight, down to single windows; so a long passage costs a few rows for each occurrence.
+    """
+    place = ["id", "th", "ctx"]
+    contexts = contexts.select("a", "id", "th", F.col("at").alias("ctx"), "offset", "bytes")
+    sizes = [8**k for k in range(6) if 8**k < length][::-1]
+    found, open_ = None, None
+    for size in sizes:
+
+        def rows(batches: Iterator[dict], size: int = size) -> Iterator[dict]:
+            for batch in batches:
+                out = {k: [] for k in ("a", "id", "th", "ctx", "w", "windows", "core", "whole")}
+                limits = batch.get("limits") or [None] * len(batch["a"])
+                for a, i, th, ctx, offset, data, within in zip(*(batch[k] for k in ("a", "id", "th", "ctx", "offset", "bytes")), limits, strict=True):
+                    for limit in within or [None]:
+                        for strip in _strips(data, offset, length, size, limit and (limit["w"], limit["w"] + limit["windows"])):
+                            for key, value in zip(out, (a, i, th, ctx, *strip), strict=True):
+                                out[key].append(value)
+                yield out
+
+        todo = contexts
+        if open_ is not None:
+            lists = open_.groupBy(*place).agg(F.collect_list(F.struct("w", "windows")).alias("limits"))
+            todo = contexts.join(lists, place)
+        strips = cut(arrow_map(todo, rows, "a long, id long, th long, ctx long, w int, windows int, core long, whole long"))
+        total = strips.count()
+        cores = strips.groupBy("a", "core").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        one = F.min(F.struct("id", "th", "ctx", "w", "windows", "core")).alias("one")
+        wholes = cut(strips.where("whole IS NOT NULL").groupBy("a", "whole").agg(F.count(F.lit(1)).alias("copies"), one).where("copies > 1"))
+        live = split_hot(strips, cores, ["a", "core"], "n", total).drop("n")
+        judged = cut(split_hot(live.where("whole IS NOT NULL"), wholes.drop("one"), ["a", "whole"], "copies", total, "left").unionByName(live.where("whole IS NULL"), allowMissingColumns=True))
+        done = F.col("copies").isNotNull()
+        lo = F.col("ctx") + F.col("w")
+        spans = judged.where(done).select("id", "th", F.lit(0).cast("long").alias("at"), F.array(F.struct(lo.alias("lo"), (lo + F.col("windows") - 1 + length).alias("hi"))).alias("spans"))
+        found = spans if found is None else found.unionByName(spans)
+        open_ = judged.where(~done).select("a", "core", *place, "w", "windows")
+        # One of each group that is done goes on where others share its core: they may repeat a part of it.
+        others = wholes.select("a", F.col("one.core").alias("core"), "one").join(open_.select("a", "core").distinct(), ["a", "core"])
+        open_ = open_.unionByName(others.select("a", "core", *(f"one.{c}" for c in (*place, "w", "windows"))))
+    return found
 
 
 def repeat_spans(base: DataFrame, *, length: int = 400, gram: int = 32, crowd: int = 1000) -> DataFrame:
     """Occurrences of repeats: rows (id, th, spans array<struct<lo: long, hi: long>>), byte offsets.
 
-    ``base`` has columns id, th (a hash of the text) and text.  Spans of a text may overlap.
+    ``base`` has columns id, th (a hash of the text) and text.  Spans of a text may overlap.  The work
+    is done in phases, each of which leaves a small table and gives its shuffle files back.
     """
-    occurrences = cut(_occurrences(base, length, gram))
+    spark = base.sparkSession
+    occurrences, path = stored(_occurrences(base, length, gram), "occurrences")
     grams = occurrences.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("n > 1")
-    repeated = cut(split_hot(occurrences, grams.select("a", "n", (F.col("c0") != F.col("c1")).alias("mixed")), ["a"], "n", occurrences.count()).drop("n"))
+    mixed = (F.col("c0") != F.col("c1")).alias("mixed")
+    repeated = cut(split_hot(occurrences, grams.select("a", "n", mixed), ["a"], "n", occurrences.count()).drop("n"))
+    delete_path(spark, path)
 
     first = F.min(F.struct("id", "th", "at", "windows", "offset")).alias("first")
     kinds = cut(repeated.where("mixed").groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"), first))
     parts = kinds.groupBy("a").agg(F.count(F.lit(1)).alias("kinds")).withColumn("crowded", F.col("kinds") > crowd)
-    n_kinds = kinds.count()
-    whole = F.array(F.struct(F.lit(0).alias("lo"), (F.col("windows") - 1 + length).alias("hi")))
-    alike = repeated.where("NOT mixed").select("id", "th", "at", whole.alias("spans"))
-    if n_kinds:
-        wanted = cut(split_hot(kinds, parts, ["a"], "kinds", n_kinds).select("a", "c", "n", "first.*", "crowded"))
-        contexts = _fetch(base, wanted, length)
-        partial = _sorted_spans(contexts.where("NOT crowded"), length)
+    wanted = cut(split_hot(kinds, parts, ["a"], "kinds", kinds.count()).select("a", "c", "n", "first.*", "crowded"))
+    del occurrences, grams, kinds, parts
+    release(spark)
+
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("lo"), (F.col("windows") - 1 + length).cast("long").alias("hi"))).alias("spans")
+    copies = wanted.where("n > 1").select("a", "c", "n")
+    in_copies = split_hot(repeated.where("mixed"), copies, ["a", "c"], "n", repeated.count())
+    found = repeated.where("NOT mixed").select("id", "th", "at", whole).unionByName(in_copies.select("id", "th", "at", whole))
+    if not wanted.isEmpty():
+        contexts, path = stored(_fetch(base, wanted.drop("c"), length), "contexts")
+        release(spark)
+        found = found.unionByName(_sorted_spans(contexts.where("NOT crowded"), length))
         if not wanted.where("crowded").isEmpty():
-            partial = partial.unionByName(_counted_spans(contexts.where("crowded"), length))
-        full = wanted.where("n > 1").select("a", "c", whole.alias("spans"), F.col("n").alias("copies"))
-        single = partial.join(wanted.where("n = 1").select("a", "c"), ["a", "c"]).withColumn("copies", F.lit(1).cast("long"))
-        found = split_hot(repeated.where("mixed").select("id", "th", "at", "a", "c"), cut(full.unionByName(single)), ["a", "c"], "copies", repeated.count())
-        alike = alike.unionByName(found.select("id", "th", "at", "spans"))
+            found = found.unionByName(_counted_spans(contexts.where("crowded"), length))
     moved = F.transform("spans", lambda s: F.struct((s["lo"] + F.col("at")).alias("lo"), (s["hi"] + F.col("at")).alias("hi")))
-    return alike.groupBy("id", "th").agg(F.flatten(F.collect_list(moved)).alias("spans"))
+    spans = cut(found.groupBy("id", "th").agg(F.flatten(F.collect_list(moved)).alias("spans")))
+    if not wanted.isEmpty():
+        delete_path(spark, path)
+    del repeated, in_copies, found, copies, wanted
+    release(spark)
+    return spans
 
 
 def remove_repeats(
