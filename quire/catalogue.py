@@ -1,4 +1,376 @@
-"""Registered queries of the corpus engine and their DuckDB equivalents."""
+"""Registered queries of the corpus engine; their DuckDB equivalents are in ``oracles``."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quire.engine import delete_path, scratch_path, table
+from quire.functions import hashing
+from quire.functions import text as tx
+from quire.operators import books as bk
+from quire.operators import chunks as ck
+from quire.operators import facts as fx
+from quire.operators import layout, quota
+from quire.operators import pages as pg
+from quire.operators import retrieval as rt
+from quire.oracles import ORACLES  # noqa: F401  (part of the catalogue)
+from quire.plans import views
 
 QUERIES: dict = {}
-ORACLES: dict = {}
+#: Packing parameters of the registered queries.
+TARGET, MOST, OVERLAP = 200, 300, 40
+
+
+def query(f):  # noqa: ANN001, ANN201
+    QUERIES[f.__name__] = f
+    return f
+
+
+@query
+def page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.pages(spark, sf_dir).select("book", "page", "doc_id", "status")
+
+
+@query
+def token_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", tx.tokens(F.col("text")).cast("long").alias("tokens"), tx.conservative_tokens(F.col("text")).alias("conservative"))
+
+
+@query
+def text_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = pg.text_quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.col(c).cast("long").alias(c) for c in ("characters", "alnum", "spaces", "newlines")]
+    return scored.select("doc_id", *counts, F.array_join("reason_codes", ",").alias("reason_codes"))
+
+
+@query
+def route_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.routed(spark, sf_dir).select("book", "page", F.array_join("failed_gates", ",").alias("failed_gates"), "eligible_if_enabled", "route_native")
+
+
+@query
+def router_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pg.router_summary(views.routed(spark, sf_dir))
+
+
+@query
+def gate_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pg.histogram(views.routed(spark, sf_dir), "failed_gates", "gate", ignore=("router_disabled",))
+
+
+@query
+def page_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.pages(spark, sf_dir).withColumn("conversion_route", F.when(F.col("page") % 2 == 0, "native_structured").otherwise("visual_llm")).withColumn("needs_visual_parser", F.col("page") % 9 == 0)
+    lists = pg.page_lists(rows)
+    return lists.select("book", *[F.array_join(c, ",").alias(c) for c in ("failed_pages", "fallback_pages", "native_routed_pages", "visual_review_pages")], "status")
+
+
+@query
+def retry_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.pages(spark, sf_dir)
+    states = rows.where(F.col("page") % 4 != 0).select("book", "page", "status")
+    requested = rows.where(F.col("page") % 3 == 0).select("book", "page")
+    return pg.retry_actions(rows.select("book", "page"), states, requested, include_fallback=True).select("book", "page", "action")
+
+
+@query
+def circuit_breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pg.failure_runs(views.pages(spark, sf_dir), limit=2)
+
+
+@query
+def outline_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.pages(spark, sf_dir).select("book", "page")
+    entries = views.outline(rows).withColumn("path", F.array("title"))
+    return pg.outline_paths(rows, entries).select("book", "page", F.col("outline_section").alias("section"))
+
+
+@query
+def outline_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = pg.outline_tree(views.outline(views.pages(spark, sf_dir), every=2))
+    return tree.select("book", "idx", F.array_join("path", " > ").alias("path"))
+
+
+@query
+def citation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    page, book = F.col("page"), F.col("book")
+    bib = F.struct(
+        F.concat(F.lit("Book of "), book).alias("title"), F.lit("filename").alias("title_source"),
+        F.when(page % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("A. "), book), F.lit("B. Other"))).alias("authors"), F.lit(None).cast("string").alias("authors_source"),
+        F.when(page % 3 == 0, "3rd").when(page % 3 == 1, "Second edition").alias("edition"), F.when(page % 2 == 0, "1999").alias("publication_year"), F.lit("en").alias("language"),
+    )
+    rows = views.pages(spark, sf_dir).select("book", "page", bib.alias("bibliography"))
+    last = F.when(page % 5 == 0, page + 2).otherwise(page)
+    first_label, last_label = F.when(page % 3 == 0, page.cast("string")).when(page % 3 == 1, F.concat(F.lit("x"), page)), F.when(page % 10 == 0, F.concat(F.lit("x"), page + 2))
+    return rows.select("book", "page", bk.pdf_citation(bk.book_label(), page, last, first_label, last_label).alias("citation"))
+
+
+@query
+def bibliography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    d = F.col("doc_id")
+    text = "string"
+    none = F.lit(None).cast(text)
+    sidecar = F.struct(
+        F.when(d % 5 == 0, F.concat(F.lit(" Title "), d)).alias("title"), F.when(d % 7 == 0, "One Author").alias("author"), F.lit(None).cast("array<string>").alias("authors"), none.alias("edition"),
+        none.alias("publication_year"), F.when(d % 2 == 0, (F.lit(1900) + d % 100).cast("int")).alias("year"), none.alias("language"),
+        F.struct(F.when(d % 10 == 0, "Nested").alias("title"), none.alias("author"), F.when(d % 9 == 0, F.array(F.lit(" N. One "), F.lit(""), F.lit("N. One"), F.lit("N. Two"))).alias("authors"),
+                 F.when(d % 4 == 0, "2").alias("edition"), none.alias("publication_year"), F.lit(None).cast("int").alias("year"), F.lit("en").alias("language")).alias("bibliography"),
+    )
+    was = F.struct(F.when(d % 6 == 0, "Kept").alias("title"), F.when(d % 12 == 0, "license_sidecar").otherwise("pdf_metadata").alias("title_source"), F.lit(None).cast("array<string>").alias("authors"), none.alias("authors_source"), F.lit("1").alias("edition"), none.alias("publication_year"), none.alias("language"))
+    pdf = F.struct(F.when(d % 3 == 0, "Untitled").when(d % 3 == 1, "Microsoft Word - x.doc").otherwise(F.concat(F.lit("PDF "), d)).alias("title"), F.when(d % 8 == 0, "unknown").when(d % 8 == 1, "P. Author").alias("author"))
+    rows = bk.resolve_bibliography(docs.select("doc_id", F.concat(F.lit("dir/file.v"), d, F.lit(".pdf")).alias("source_file"), sidecar.alias("license"), was.alias("existing"), pdf.alias("pdf_metadata")))
+    b = "bibliography"
+    return rows.select("doc_id", f"{b}.title", f"{b}.title_source", F.array_join(f"{b}.authors", "|").alias("authors"), f"{b}.authors_source", f"{b}.edition", f"{b}.publication_year")
+
+
+@query
+def license_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.regexp_extract("source", r"\d+", 0).cast("int")
+    raw = F.when(number % 5 == 0, "owned").when(number % 5 == 1, "unspecified").when(number % 5 == 2, "stolen").when(number % 5 == 3, " public-domain ")
+    rows = table(spark, sf_dir, "documents").select(F.col("source").alias("book"), raw.alias("raw")).distinct()
+    status = bk.normalize_license(F.col("raw"))
+    return rows.select("book", status.alias("status"), bk.packable(status).alias("packable"), bk.packable(F.col("raw"), include_unspecified=True).alias("raw_packable"))
+
+
+@query
+def source_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hashed = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
+    return hashed.groupBy("sha256").agg(F.min("doc_id").alias("canonical"), F.count(F.lit(1)).alias("n"))
+
+
+@query
+def existing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("source_sha256"))
+    manifests = docs.select("source_sha256", F.concat(F.lit("book-"), F.col("doc_id")).alias("book_id")).where("doc_id % 2 = 0")
+    return bk.find_existing(docs, manifests).select("doc_id", "existing_book_id")
+
+
+@query
+def book_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat(F.substring("text", 1, 40), F.lit(".pdf"))
+    return table(spark, sf_dir, "documents").select("doc_id", hashing.book_id(tx.slug(F.substring("text", 1, 40)), F.sha2(name, 256)).alias("book_id"))
+
+
+@query
+def markdown_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d, text = F.col("doc_id"), F.col("text")
+    fenced = F.when(d % 3 == 0, F.concat(F.lit("```markdown\n"), text, F.lit("\n```\n"))).when(d % 3 == 1, F.concat(F.lit("---\na: 1\n---\n"), text)).otherwise(F.concat(F.lit("# Title "), d, F.lit("\n"), text))
+    rows = table(spark, sf_dir, "documents").select("doc_id", fenced.alias("m"))
+    clean = tx.without_front_matter(tx.strip_fence(F.col("m")))
+    return rows.select("doc_id", F.sha2(clean, 256).alias("body_sha256"), tx.heading(F.col("m")).alias("heading"), tx.heading_level(F.col("m")).cast("long").alias("level"), tx.is_rtl(F.col("m")).alias("rtl"))
+
+
+@query
+def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ck.segment(views.markdown_pages(spark, sf_dir)).select(F.col("page").alias("page_id"), "seq", F.col("structural_block_type").alias("type"), "section", "tokens")
+
+
+@query
+def section_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    title = F.when(F.col("role") == "user", F.substring("text", 1, 30))
+    return pg.carry_section(turns, title, ["conv_id"], ["turn"]).select("conv_id", "turn", "section")
+
+
+@query
+def page_gap_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pg.islands(views.pages(spark, sf_dir).where(F.col("status") != "failed"))
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ck.describe(ck.pack_chunks(views.blocks(spark, sf_dir, MOST), TARGET, MOST, OVERLAP), MOST)
+
+
+@query
+def chunk_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = F.aggregate("blocks", F.lit(0).cast("long"), lambda n, b: n + b["tokens"])
+    return _packed(spark, sf_dir).select("book", "chunk_index", "page_start", "page_end", F.size("blocks").cast("long").alias("n_blocks"), tokens.alias("tokens"))
+
+
+@query
+def chunk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ck.address(_packed(spark, sf_dir).withColumn("section", F.lit(""))).select("book", "chunk_index", "content_sha256", "chunk_id", "oversized", "oversized_reason")
+
+
+@query
+def chunk_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.pages(spark, sf_dir)
+    route = F.when(F.col("status") == "native_text_fallback", "native_fallback_after_llm").when(F.col("page") % 2 == 0, "native_structured").otherwise("visual_llm")
+    facts = rows.select(
+        "book", "page", "status", route.alias("conversion_route"), F.when(F.col("page") % 3 == 0, F.concat(F.lit("p"), F.col("page"))).alias("printed_page_label"),
+        F.when(F.col("page") % 4 == 0, F.array(F.concat(F.lit("S"), F.col("page")))).alias("outline_path"), (F.col("page") % 9 == 0).alias("needs_visual_parser"),
+        F.array(F.concat(F.lit("r"), F.col("page") % 2)).alias("reason_codes"),
+    )
+    joined = ck.attach_pages(_packed(spark, sf_dir), facts)
+    lists = [F.array_join(c, ",").alias(c) for c in ("included_pages", "fallback_pages", "native_structured_pages", "visual_review_pages", "reason_codes")]
+    return joined.select("book", "chunk_index", "source_quality", "outline_section", "printed_page_start", "printed_page_end", *lists)
+
+
+@query
+def combined_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.sources.sinks import combined_books as combine
+
+    rows = views.pages(spark, sf_dir).select(F.col("book").alias("book_id"), "page", F.concat(F.lit("p. "), F.col("page")).alias("citation"), F.col("text").alias("markdown"))
+    return combine(rows).select("book_id", F.length("text").cast("long").alias("characters"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def embedding_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = F.col("doc_id")
+    authors = F.when(d % 3 == 0, F.array(F.lit("X"), F.lit(" "), F.lit("Y"))).otherwise(F.array().cast("array<string>"))
+    text = rt.embedding_text(F.concat(F.lit("Book "), "source"), authors, F.when(d % 2 == 0, "2nd"), F.lit(None).cast("string"), F.col("lang"), F.when(d % 5 == 0, "Part"), F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(text, 256).alias("input_sha256"))
+
+
+@query
+def embed_cache_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", hashing.cache_key("m", 64, "RETRIEVAL_DOCUMENT", F.sha2("text", 256)).alias("cache_key"))
+    cache = docs.where("doc_id % 3 = 0").select("cache_key").distinct()
+    hit = docs.join(cache.withColumn("hit", F.lit(True)), "cache_key", "left")
+    return hit.groupBy(F.coalesce("hit", F.lit(False)).alias("hit")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("cache_key").alias("inputs"), F.min("cache_key").alias("first_key"))
+
+
+@query
+def vector_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.size("embedding").cast("long").alias("dim"))
+    return ck.vector_order(rows, ["label", "vec_id"]).select("vec_id", "dim", "vector_index")
+
+
+@query
+def corpus_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.pages(spark, sf_dir)
+    one = rows.agg(F.countDistinct("book").cast("string").alias("book_count"), F.count(F.lit(1)).cast("string").alias("page_count"), F.count_if(F.col("status") == "failed").cast("string").alias("failed_count"))
+    return one.unpivot([], ["book_count", "page_count", "failed_count"], "key", "value")
+
+
+@query
+def fts_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "benchmark")
+    return items.withColumn("terms", rt.search_terms("text")).select("item_id", rt.match_query(F.col("terms")).alias("match_query"))
+
+
+@query
+def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    terms = spark.createDataFrame([(t, t) for t in ("the", "de", "und", "que", "and")], "query string, term string")
+    index = rt.postings(docs, "doc_id", "text", folded=False)
+    best = rt.top_k(rt.bm25(index, docs, terms, "doc_id"), 10, "doc_id")
+    return best.select("query", "doc_id", F.col("rank").cast("long").alias("rank"))
+
+
+@query
+def token_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    pairs = docs.select("doc_id", "text", (F.col("doc_id") % 40).alias("item_id")).join(items.select("item_id", F.col("text").alias("item")), "item_id")
+    return fx.token_coverage(pairs, "text", "item", "doc_id").select("doc_id", "total", "matched")
+
+
+@query
+def marginalia(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.pages(spark, sf_dir)
+    lines = rows.select("book", F.substring(F.substring_index("text", " ", 1), 1, 12).alias("text"))
+    return fx.repeated_marginalia(lines, rows, share=0.02)
+
+
+@query
+def font_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = views.pages(spark, sf_dir).select("book", "page", F.posexplode(F.split("text", "\n")).alias("b", "text"))
+    size = F.when(F.col("b") == 0, 14.0 + F.col("page") % 3).when(F.col("b") % 5 == 4, 9.04).otherwise(10.0)
+    spans = lines.select("book", "page", "b", F.lit(0).alias("l"), F.lit(0).alias("s"), "text", size.alias("size"))
+    profile = fx.font_profile(fx.font_histogram(spans))
+    return profile.select("book", (F.col("body_size") * 10).cast("long").alias("body_size_10"), F.array_join(F.transform("heading_sizes", lambda s: (s * 10).cast("long").cast("string")), ",").alias("heading_sizes_10"))
+
+
+def _boxes(df: DataFrame, key: str, name: str, wide: int) -> DataFrame:
+    k = F.col(key)
+    x0, y0 = (k * 37 % 400).cast("double"), (k * 53 % 600).cast("double")
+    return df.select(F.lit("b").alias("book"), (k % 25).alias("page"), k.alias(name), x0.alias("x0"), y0.alias("y0"), (x0 + wide + k % 7).alias("x1"), (y0 + wide / 2 + k % 5).alias("y1"), F.col("text"))
+
+
+@query
+def containment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = _boxes(table(spark, sf_dir, "documents"), "doc_id", "block", 30)
+    tables = _boxes(table(spark, sf_dir, "benchmark"), "item_id", "table", 300)
+    found = fx.containment(blocks, tables.drop("text"))
+    words = fx.accounted_tables(found, tables)
+    return found.join(words, ["book", "page", "table"]).select("page", "block", "table", "accounted")
+
+
+@query
+def caption_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = _boxes(table(spark, sf_dir, "documents"), "doc_id", "block", 30)
+    figures = _boxes(table(spark, sf_dir, "benchmark"), "item_id", "figure", 200)
+    return fx.captions(blocks, figures.drop("text"), page_height=800.0).select("page", "block", "figure")
+
+
+@query
+def page_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = views.pages(spark, sf_dir).select("book", "page", "text", F.split("text", "\n").alias("lines"))
+    block = F.transform(
+        "lines",
+        lambda line, i: F.struct(
+            F.array(F.lit(50.0), 40.0 + i * 20.0, F.lit(500.0), 55.0 + i * 20.0).alias("bbox"), i.alias("number"),
+            F.array(F.struct(F.array(F.struct(line.alias("text"), F.when(i == 0, 16.0).otherwise(10.0).alias("size"), F.lit(0).alias("flags"))).alias("spans"))).alias("lines"),
+        ),
+    )
+    profile = F.struct(F.lit(10.0).alias("body_font_size"), F.array(F.lit(16.0)).alias("heading_font_sizes"), F.array().cast("array<string>").alias("repeated_marginalia"))
+    empty = F.array().cast("array<string>")
+    page = lines.select("book", "page", F.lit(600.0).alias("width"), F.lit(800.0).alias("height"), F.col("text").alias("native_text"), empty.alias("outline_path"), block.alias("blocks"), empty.alias("tables"), empty.alias("images"), profile.alias("profile"), empty.alias("quality_codes"))
+    return layout.render_pages(page).select("book", "page", "rendered.render_mode", F.size("rendered.blocks").alias("blocks"), "rendered.columns", F.sha2("rendered.markdown", 256).alias("markdown_sha256"))
+
+
+@query
+def quota_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quota.requests_by_day(table(spark, sf_dir, "events"))
+
+
+@query
+def quota_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return quota.admit(events, 2, 3600.0, key="user_id", order="event_id").select("event_id", "admitted")
+
+
+@query
+def error_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id")
+    status = F.when(e % 5 == 0, 429).when(e % 5 == 1, 503).when(e % 5 == 2, 404)
+    name = F.when(e % 7 == 0, "ReadTimeout").otherwise("ValueError")
+    snapshot = F.when(e % 3 == 0, '{"quotaId": "RequestsPerDayPerProject"}').otherwise('{"quotaId": "PerMinute"}')
+    return table(spark, sf_dir, "events").select("event_id", quota.retryable(status, name).alias("retryable"), quota.daily_quota(snapshot).alias("daily"))
+
+
+@query
+def permission_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", fx.permissions(F.col("n_chars")).alias("p")).select("doc_id", "p.*")
+
+
+@query
+def metadata_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = F.col("doc_id")
+    value = F.when(d % 4 == 0, " None ").when(d % 4 == 1, "\t").when(d % 4 == 2, "null").otherwise(F.concat(F.lit(" v"), d, F.lit("\n")))
+    return table(spark, sf_dir, "documents").select("doc_id", fx.clean_metadata_map(F.create_map(F.lit("a"), value))["a"].alias("value"))
+
+
+@query
+def fake_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("cache_key"), "text")
+    made = rt.embed(docs, lambda: rt.FakeEmbedder(64))
+    norm = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
+    return made.select(F.col("cache_key").cast("long").alias("doc_id"), F.size("embedding").alias("dim"), (F.abs(norm - 1) < 1e-5).alias("unit"))
+
+
+@query
+def inbox_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents' digests through the streaming inbox: each source's texts arrive as one file."""
+    from quire.streaming.inbox import drain
+
+    docs = table(spark, sf_dir, "documents").select("source", F.sha2("text", 256).alias("value"))
+    inbox, out, state = (scratch_path(spark, name) for name in ("inbox", "ingested", "state"))
+    docs.repartition("source").sortWithinPartitions("source", "value").write.partitionBy("source").text(inbox)
+    drain(spark, f"{inbox}/source=*", out, state, pattern="part-*", per_trigger=8)
+    found = spark.read.parquet(out).select(F.regexp_extract("path", "source=([^/]+)", 1).alias("source"), "length", "source_sha256")
+    delete_path(spark, inbox)
+    return found
