@@ -63,7 +63,7 @@ def without_marginalia(blocks: DataFrame, repeated: DataFrame) -> DataFrame:
     again = F.coalesce("again", F.lit(False)) & F.col("edge")
     number = F.col("edge") & F.col("text").rlike(rf"(?i)\A[{tx.WS}]*(?:\d+|[ivxlcdm]+)[{tx.WS}]*\z")
     reason = F.when(again, "repeated_running_header_or_footer").when(number, "isolated_printed_page_number")
-    return keyed.drop("again", "key").withColumn("ignored", again | number).withColumn("ignore_reason", reason)
+    return keyed.withColumn("ignored", again | number).withColumn("ignore_reason", reason).drop("again", "key")
 
 
 def token_coverage(pairs: DataFrame, expected: str, observed: str, key: str, missing: int = 30) -> DataFrame:

@@ -32,7 +32,7 @@ def identify(files: DataFrame) -> DataFrame:
 
 def read_sidecars(spark: SparkSession, folder: str) -> DataFrame:
     """(path, content) of licence sidecars."""
-    return spark.read.option("wholetext", True).option("pathGlobFilter", "*.license.json").text(folder).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
+    return spark.read.option("pathGlobFilter", "*.license.json").text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -56,13 +56,13 @@ def require_clean(records: DataFrame) -> DataFrame:
 
 def read_manifests(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """One row a manifest ``metadata/*/manifest.json``; unreadable ones have a null ``book_id`` and their path."""
-    raw = spark.read.option("wholetext", True).text(f"{root}/metadata/*/manifest.json").select(F.col("_metadata.file_path").alias("path"), "value")
+    raw = spark.read.text(f"{root}/metadata/*/manifest.json", wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     return raw.select("path", F.from_json("value", schema).alias("m"), F.col("value").alias("json")).select("path", "json", "m.*")
 
 
 def read_page_files(spark: SparkSession, root: str) -> DataFrame:
     """(book_id, page, markdown) of the per-page Markdown files, front matter removed."""
-    raw = spark.read.option("wholetext", True).option("pathGlobFilter", "page-*.md").option("recursiveFileLookup", True).text(f"{root}/pages")
+    raw = spark.read.option("pathGlobFilter", "page-*.md").option("recursiveFileLookup", True).text(f"{root}/pages", wholetext=True)
     name = r"/pages/([^/]+)/page-(\d+)\.md\z"
     path = F.col("_metadata.file_path")
     return raw.select(F.regexp_extract(path, name, 1).alias("book_id"), F.regexp_extract(path, name, 2).cast("int").alias("page"), tx.without_front_matter(F.col("value")).alias("markdown"))
