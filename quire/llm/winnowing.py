@@ -85,12 +85,12 @@ def _with_successors(docs: DataFrame, ranges: int) -> DataFrame:
     bounds = sorted(set(cuts))
     part = F.when(F.col("id").isNull(), F.lit(len(bounds) + 1)).otherwise(F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b >= F.col("id"))) if bounds else F.lit(0))
     firsts = ids.groupBy(part.alias("part")).agg(F.max("id").alias("first")).orderBy("part").collect()  # one row a range
-    before = {r.first: firsts[k - 1].part for k, r in enumerate(firsts)}  # the part that ends before this first id
-    late = F.lit(None).cast("int")
-    for first, into in before.items():
-        late = F.when(F.col("id").isNull() if first is None else F.col("id") == first, F.lit(into)).otherwise(late)
-    places = F.array_compact(F.array(F.struct(part.cast("int").alias("part"), F.lit(False).alias("late")), F.when(late.isNotNull(), F.struct(late.alias("part"), F.lit(True).alias("late")))))
-    spread = docs.select("id", "text", F.explode(places).alias("place")).select("place.part", "place.late", "id", "text")
+    before = [(r.first, firsts[k - 1].part) for k, r in enumerate(firsts)]  # (first id of a part, the part that ends before it)
+    known = F.broadcast(docs.sparkSession.createDataFrame(before, "first long, into int"))
+    rows = docs.join(known, F.col("id").eqNullSafe(F.col("first")), "left")
+    late = F.when(F.col("into").isNotNull(), F.struct(F.col("into").alias("part"), F.lit(True).alias("late")))
+    places = F.array_compact(F.array(F.struct(part.cast("int").alias("part"), F.lit(False).alias("late")), late))
+    spread = rows.select("id", "text", F.explode(places).alias("place")).select("place.part", "place.late", "id", "text")
     return spread.repartition("part").sortWithinPartitions("part", "late", F.desc_nulls_last("id"), "text")
 
 
