@@ -91,16 +91,8 @@ def _links(nodes: DataFrame, bucket: int) -> DataFrame:
     return pairs if edges is None else pairs.unionByName(edges)
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bucket: int = 32) -> DataFrame:
-    """One row (id, fp, component_id) for each input row.
-
-    Fingerprints link at 2 or fewer differing bits; ``component_id`` is the smallest id reachable
-    over links, the row's own included.  Texts without words have fingerprint 0 and link like any
-    other.  Texts of fewer than ``shingle`` words are one shingle.  Repeated rows yield repeated
-    results; null ids are never a component's smallest (a component of null ids only has a null
-    ``component_id``).  Other columns of the input are not read.
-    """
-    fps = cut(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle))
+def _components(fps: DataFrame, bucket: int) -> DataFrame:
+    """Rows (id, fp, component_id) from materialised rows (id, fp)."""
     nodes = cut(fps.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")))
     roots = components(_links(nodes.select("fp"), bucket))
     member = cut(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", "copies", F.coalesce("root", "fp").alias("root")))
@@ -109,15 +101,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return split_hot(fps, named, ["fp"], "copies", fps.count()).select("id", "fp", "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bucket: int = 32) -> DataFrame:
-    """The input rows without near copies: of each component the row with the smallest id stays.
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bucket: int = 32) -> DataFrame:
+    """One row (id, fp, component_id) for each input row.
 
-    Rows that share the smallest id count as one document, and one of them stays.  Rows with a null
-    id can't stand for a component; they all stay.
+    Fingerprints link at 2 or fewer differing bits; ``component_id`` is the smallest id reachable
+    over links, the row's own included.  Texts without words have fingerprint 0 and link like any
+    other.  Texts of fewer than ``shingle`` words are one shingle.  Repeated rows yield repeated
+    results; null ids are never a component's smallest (a component of null ids only has a null
+    ``component_id``).  Other columns of the input are not read.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, shingle=shingle, bucket=bucket).where("id = component_id").select(F.col("id").alias("k_id"))
-    keepers = cut(found.groupBy("k_id").agg(F.count(F.lit(1)).alias("rows")))
-    named = docs.join(keepers.select("k_id"), F.col(id_col) == F.col("k_id"), "left_semi")
-    if not keepers.where("rows > 1").isEmpty():
-        named = named.dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    return _components(cut(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle)), bucket)

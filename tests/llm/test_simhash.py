@@ -85,11 +85,3 @@ def test_components_of_a_hub_and_a_path(spark):
 
 def test_empty(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
-
-
-def test_one_of_each_component_stays(spark):
-    from quire.llm.simhash import keep_one_of_each
-
-    kept = [r.doc_id for r in keep_one_of_each(frame(spark)).collect()]
-    want = {c for (i, _, c), _ in brute(rows()).items() if i is not None}
-    assert sorted(k for k in kept if k is not None) == sorted(want) and kept.count(None) == 1
