@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from quire.engine import delete_path, scratch_path, table
 from quire.llm.line_dedup import dedup_lines
+from quire.llm.near_copies import keep_one_of_each
 from quire.llm.packing import pack
 from quire.llm.quality import quality_rules, without_lines
 from quire.llm.repeats import remove_repeats
-from quire.llm.simhash import keep_one_of_each
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -38,7 +38,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: of each group of near copies the smallest id stays."""
+    """Operator 5: of each group of near copies (five-word shingles, similarity 0.8) the smallest id stays."""
     return as_documents(keep_one_of_each(docs.select(*COLUMNS)))
 
 
