@@ -23,15 +23,21 @@ def number_pages(docs: DataFrame, book: str, order: str) -> DataFrame:
     return docs.withColumn("page", F.row_number().over(window)).withColumn("book", F.col(book))
 
 
+#: Python's white space apart from line feed and carriage return (fixed value).
+BLANKS = "\t\x0b\x0c\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def text_counts(text: Column) -> dict[str, Column]:
-    """Raw counts behind the quality codes."""
+    """Raw counts behind the quality codes.  What single characters decide is counted by removing them,
+    which is several times faster than matching."""
+    without = lambda characters: F.length(text) - F.length(F.translate(text, characters, ""))
     return {
         "characters": F.length(text),
-        "nonspace": tx.count_matches(text, rf"[^{tx.WS}]"),
+        "nonspace": F.length(F.translate(text, BLANKS + "\r\n", "")),
         "alnum": tx.count_matches(text, r"[\p{L}\p{N}]"),
-        "spaces": tx.count_matches(text, r"[\x09\x0b\x0c\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"),
-        "newlines": tx.count_matches(text, r"\n"),
-        "replaced": tx.count_matches(text, r"\x{fffd}"),
+        "spaces": without(BLANKS),
+        "newlines": F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))),
+        "replaced": F.length(text) - F.length(F.replace(text, F.lit("\ufffd"), F.lit(""))),
     }
 
 
@@ -53,7 +59,8 @@ def text_quality(pages: DataFrame, text: str = "text") -> DataFrame:
     """Add the counts, ``reason_codes`` and ``usable_as_reference``."""
     counts = text_counts(F.col(text))
     named = {k: F.col(k) for k in counts}
-    return pages.withColumns(counts).withColumn("reason_codes", quality_codes(named)).withColumn("usable_as_reference", F.size("reason_codes") == 0)
+    counted = pages.withColumn("counts", F.struct(*[c.alias(k) for k, c in counts.items()])).select(*[F.col(f"`{c}`") for c in pages.columns], "counts.*")
+    return counted.withColumn("reason_codes", quality_codes(named)).withColumn("usable_as_reference", F.size("reason_codes") == 0)
 
 
 def route(pages: DataFrame, enabled: Column) -> DataFrame:
@@ -89,7 +96,9 @@ def router_summary(routed: DataFrame, book: str = "book") -> DataFrame:
 
 def histogram(rows: DataFrame, values: str, name: str, book: str = "book", ignore: tuple[str, ...] = ()) -> DataFrame:
     """Counts of the elements of an array column for each book."""
-    return rows.select(book, F.explode(values).alias(name)).where(~F.col(name).isin(*ignore) if ignore else F.lit(True)).groupBy(book, name).agg(F.count(F.lit(1)).alias("n"))
+    shown = F.col(name).isNotNull() & ~F.col(name).isin(*ignore) if ignore else F.col(name).isNotNull()
+    # explode_outer: plain explode makes Spark evaluate the array a second time in a filter
+    return rows.select(book, F.explode_outer(values).alias(name)).where(shown).groupBy(book, name).agg(F.count(F.lit(1)).alias("n"))
 
 
 def as_map(counts: DataFrame, key: str, book: str = "book") -> DataFrame:

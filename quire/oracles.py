@@ -184,6 +184,28 @@ SELECT key IN (SELECT key FROM k WHERE doc_id % 3 = 0) AS hit, count(*) AS n, co
     "corpus_meta": f"""
 WITH {P} SELECT 'book_count' AS key, count(DISTINCT book)::VARCHAR AS value FROM p UNION ALL SELECT 'page_count', count(*)::VARCHAR FROM p
 UNION ALL SELECT 'failed_count', count(*) FILTER (WHERE status = 'failed')::VARCHAR FROM p""",
+    "preflight": f"""
+WITH {P},
+pp AS (SELECT *, doc_id AS d, regexp_extract(book, '\\d+')::INTEGER AS m FROM p),
+b AS (SELECT book, m, count(*) AS pages FROM pp GROUP BY book, m),
+fine AS (SELECT * FROM pp WHERE d % 97 <> 5 AND d % 89 <> 7),
+k AS (SELECT *, page AS position FROM pp WHERE m % 20 <> 12 UNION ALL SELECT *, page + 100000 FROM pp WHERE m % 20 <> 12 AND d % 47 = 3),
+w AS (SELECT * FROM k WHERE d % 53 <> 2),
+f AS (
+  SELECT *, {strip("'Book: ' || CASE WHEN d % 41 = 5 THEN 'x' ELSE 'Book ' || book END || chr(10) || 'Authors: A' || chr(10) || 'Language: en' || chr(10) || 'Section: ' || chr(10) || chr(10) || text")} AS e
+  FROM w WHERE d % 37 <> 6),
+v AS (
+  SELECT book, 1 AS r FROM b WHERE m % 10 = 4 UNION ALL SELECT book, 2 FROM b WHERE m % 10 = 3 UNION ALL SELECT book, 3 FROM b WHERE m % 10 = 9 UNION ALL SELECT book, 4 FROM b WHERE m % 10 = 5
+  UNION ALL SELECT book, 5 FROM b WHERE m % 10 = 6 UNION ALL SELECT book, 6 FROM b WHERE m % 10 = 7 UNION ALL SELECT book, 7 FROM b WHERE m % 20 = 12 UNION ALL SELECT book, 8 FROM b WHERE m % 10 = 8
+  UNION ALL SELECT book, 9 FROM pp WHERE d % 97 = 5 UNION ALL SELECT book, 10 FROM pp WHERE d % 97 <> 5 AND d % 89 = 7 UNION ALL SELECT book, 11 FROM fine WHERE d % 83 = 1 UNION ALL SELECT book, 12 FROM fine WHERE d % 79 = 2
+  UNION ALL SELECT book, 13 FROM fine WHERE d % 73 = 3 UNION ALL SELECT book, 14 FROM fine WHERE d % 71 = 4 UNION ALL SELECT book, 15 FROM fine WHERE d % 71 <> 4 AND d % 67 = 5 UNION ALL SELECT book, 16 FROM pp WHERE m % 20 = 11 AND page = 1
+  UNION ALL SELECT book, 17 FROM pp WHERE d % 61 = 6 UNION ALL SELECT book, 18 FROM k WHERE d % 59 = 1 UNION ALL SELECT book, 18 FROM k WHERE d % 53 = 2 UNION ALL SELECT book, 19 FROM w WHERE position > 100000
+  UNION ALL SELECT book, 20 FROM w WHERE d % 43 = 4 UNION ALL SELECT book, 21 FROM w WHERE d % 41 = 5 UNION ALL SELECT book, 22 FROM w WHERE d % 37 = 6 UNION ALL SELECT book, 23 FROM f WHERE d % 31 = 7 UNION ALL SELECT book, 24 FROM f WHERE d % 29 = 8
+  UNION ALL SELECT book, 25 FROM f WHERE d % 23 = 9 UNION ALL SELECT book, 26 FROM f WHERE d % 19 = 10 UNION ALL SELECT book, 28 FROM f WHERE d % 17 = 11
+  UNION ALL SELECT book, 27 FROM f WHERE greatest({tokens("e")}, ceil(strlen(e) / 4), {count("e", rf"[^\x00-\x7f{WS}]")}) > 8192),
+s AS (SELECT book, min(r) AS stop FROM v WHERE r IN (1, 2, 3, 4, 5, 7, 8, 16) GROUP BY book)
+SELECT v.book AS book_id, 'V' || r AS rule, CASE WHEN r IN (2, 6) THEN 'warning' ELSE 'error' END AS severity, count(*) AS n
+FROM v LEFT JOIN s ON s.book = v.book WHERE r <= coalesce(stop, 99) GROUP BY ALL""",
     "bm25_topk": """
 WITH terms AS (
   SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda t: t <> '')) AS term FROM documents),
