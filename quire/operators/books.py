@@ -120,3 +120,14 @@ def attach_sidecars(pdfs: DataFrame, sidecars: DataFrame) -> DataFrame:
     first, second = (sidecars.select(F.col("path").alias(f"p{k}"), F.regexp_replace("content", r"\A\x{feff}", "").alias(f"c{k}")) for k in (1, 2))
     joined = pdfs.join(first, F.concat(stem, F.lit(".license.json")) == F.col("p1"), "left").join(second, F.concat(F.col("path"), F.lit(".license.json")) == F.col("p2"), "left")
     return joined.select(*pdfs.columns, F.coalesce("c1", "c2").alias("license_json"))
+
+
+def locate_sources(books: DataFrame, files: DataFrame, folders: list[str]) -> DataFrame:
+    """Add ``located``: the manifest's own path if it exists, else the first folder that has the file."""
+    known = files.select("path").distinct()
+    out = books
+    tries = [F.col("source_path"), *[F.concat(F.lit(f"{f.rstrip('/')}/"), F.col("source_file")) for f in folders]]
+    for k, path in enumerate(tries):
+        out = out.join(known.withColumnRenamed("path", f"_p{k}"), path == F.col(f"_p{k}"), "left")
+    names = [f"_p{k}" for k in range(len(tries))]
+    return out.withColumn("located", F.coalesce(*names)).drop(*names)

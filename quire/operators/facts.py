@@ -106,3 +106,29 @@ def captions(blocks: DataFrame, figures: DataFrame, page_height: float, overlap:
     below = F.col("y0") - F.col("f_y1")
     near = blocks.join(f, ["book", "page"]).where((shared / narrower >= overlap) & (below >= 0) & (below <= page_height * gap))
     return near.groupBy("book", "page", "block").agg(F.min("figure").alias("figure"))
+
+
+def vector_signals(drawings: DataFrame, pages: DataFrame) -> DataFrame:
+    """(book, page, drawing_count, decorative_rule_count, vector_density) from drawing boxes.
+
+    A rule is two points thick at most and a fifth of the page long; rules don't count as content.
+    ``pages`` has (book, page, width, height).
+    """
+    met = drawings.join(pages, ["book", "page"])
+    wide, tall = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    rule = ((tall <= 2) & (wide >= 0.2 * F.col("width"))) | ((wide <= 2) & (tall >= 0.2 * F.col("height")))
+    covered = F.sum(F.when(~rule, F.greatest(F.lit(0.0), wide) * F.greatest(F.lit(0.0), tall)))
+    found = met.groupBy("book", "page").agg(
+        F.count_if(~rule).alias("drawing_count"), F.count_if(rule).alias("decorative_rule_count"), (F.coalesce(covered, F.lit(0.0)) / F.first(F.greatest(F.lit(1.0), F.col("width") * F.col("height")))).alias("vector_density")
+    )
+    every = pages.select("book", "page").join(found, ["book", "page"], "left").na.fill(0, ["drawing_count", "decorative_rule_count", "vector_density"])
+    return every.withColumn("vector_density", F.least(F.lit(1.0), "vector_density"))
+
+
+def span_density(spans: DataFrame, pages: DataFrame) -> DataFrame:
+    """(book, page, text_density, invisible_ocr_spans): span boxes of four numbers over the page's area."""
+    b = F.col("bbox")
+    box = F.when(F.size(b) == 4, F.greatest(F.lit(0.0), F.get(b, F.lit(2)) - F.get(b, F.lit(0))) * F.greatest(F.lit(0.0), F.get(b, F.lit(3)) - F.get(b, F.lit(1))))
+    sums = spans.groupBy("book", "page").agg(F.sum(box).alias("area"), F.count_if(F.col("alpha") == 0).alias("invisible_ocr_spans"))
+    size = F.greatest(F.lit(1.0), F.col("width") * F.col("height"))
+    return pages.join(sums, ["book", "page"], "left").select("book", "page", (F.coalesce("area", F.lit(0.0)) / size).alias("text_density"), F.coalesce("invisible_ocr_spans", F.lit(0)).alias("invisible_ocr_spans"))

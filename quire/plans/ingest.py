@@ -112,6 +112,8 @@ def ingest(
 
     stored = _table(spark, settings, "pages")
     todo = decoded.where("page > 0")
+    if retry_pages and (most := decoded.agg(F.max("page_count")).head()[0] or 0) < max(retry_pages):
+        raise ValueError(f"page {max(retry_pages)} was asked for, but there are {most}")
     if stored is not None:
         requested = None
         if retry_pages is not None:
@@ -132,6 +134,9 @@ def ingest(
     books = books.join(changed, "book_id", "left").where("touched OR error IS NOT NULL").drop("touched", "path")
     books = cut(books.withColumn("status", F.when(F.col("error").isNotNull(), "failed").otherwise(F.col("page_status"))).drop("page_status"))
     sinks.write_by_book(books, settings.path("books"))
+    ends = books.join(hashed.select("source_sha256", "path"), "source_sha256").select("path", (F.col("error").isNotNull()).alias("bad"), (F.col("status") == "complete").alias("done")).collect()  # one row a new file
+    sinks.move_files(spark, [r.path for r in ends if r.bad], settings.path("failed"))
+    sinks.move_files(spark, [r.path for r in ends if r.done and not r.bad], settings.path("processed"))
     rebuild(spark, settings, [r.book_id for r in books.where("error IS NULL").select("book_id").limit(10_000).collect()])
     return books
 
@@ -192,7 +197,11 @@ def pack(spark: SparkSession, settings: Settings, make_embedder: Callable[[], rt
     export = cut(vectors.join(chunks.select("chunk_id", "vector_index"), "chunk_id"))
     export.write.mode("overwrite").parquet(settings.path("exports/vectors"))
     rt.postings(chunks, "chunk_id", "body", "section").write.mode("overwrite").parquet(settings.path("exports/postings"))
-    facts = {"embedding_model": embedder.model, "embedding_task_type": embedder.task_type, "semantic_vectors": str(embedder.semantic_vectors).lower(), "cache_misses": str(made), "cache_hits": str(export.count() - made)}
+    addressed = rt.embedding_inputs(chunks).join(chunks.select("chunk_id", "content_sha256", "vector_index"), "chunk_id").orderBy("vector_index")
+    digest = sinks.corpus_digest(addressed.select("chunk_id", "content_sha256", "embedding_input_sha256").toLocalIterator())
+    semantic = embedder.semantic_vectors
+    facts = {"schema_version": str(pf.CHUNK_SCHEMA), "corpus_sha256": digest, "artifact_mode": "semantic" if semantic else "fake", "production_ready": str(semantic).lower(), "fts_tokenizer": "unicode61 remove_diacritics 2"}
+    facts |= {"embedding_model": embedder.model, "embedding_task_type": embedder.task_type, "semantic_vectors": str(embedder.semantic_vectors).lower(), "cache_misses": str(made), "cache_hits": str(export.count() - made)}
     if sqlite:
         labelled = whole.pages.select("book_id", "page", F.col("printed_page_label").alias("printed_label"), "status", F.lit(None).cast("string").alias("citation"))
         titled = books.select("book_id", F.col("bibliography.title").alias("title"), "source_sha256", "page_count", "license_status")

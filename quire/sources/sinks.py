@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import sqlite3
 import struct
@@ -9,7 +10,7 @@ import tempfile
 from collections.abc import Iterator
 from hashlib import sha256
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as tx
@@ -90,6 +91,26 @@ def ordered_digest(ids: Iterator[str]) -> str:
     return digest.hexdigest()
 
 
+def corpus_digest(rows: Iterator[Row]) -> str:
+    """SHA-256 over the JSON list of {chunk_id, content_sha256, embedding_input_sha256}, streamed in order."""
+    digest = sha256(b"[")
+    for k, row in enumerate(rows):
+        one = {"chunk_id": row.chunk_id, "content_sha256": row.content_sha256, "embedding_input_sha256": row.embedding_input_sha256}
+        digest.update((("," if k else "") + json.dumps(one, sort_keys=True, separators=(",", ":"))).encode())
+    digest.update(b"]")
+    return digest.hexdigest()
+
+
+def move_files(spark: SparkSession, paths: list[str], folder: str) -> None:
+    """Move finished or broken files out of the inbox, through the file system that holds them."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in paths:
+        source = hadoop.Path(path)
+        system = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.mkdirs(hadoop.Path(folder))
+        system.rename(source, hadoop.Path(folder, source.getName()))
+
+
 def write_sqlite(path: str, books: DataFrame, pages: DataFrame, chunks: DataFrame, vectors: DataFrame, meta: dict[str, str]) -> dict[str, str]:
     """One corpus file for a single reader: tables, full-text index and vector matrix; returns its meta.
 
