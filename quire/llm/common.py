@@ -32,8 +32,11 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def arrow_map(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]], schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` over column dictionaries: ``rows`` gets and yields {column: list or array}."""
+def arrow_map(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]], schema: T.StructType | str, at_once: int = BATCH_ROWS) -> DataFrame:
+    """``mapInArrow`` over column dictionaries: ``rows`` gets and yields {column: list or array}.
+
+    ``at_once`` bounds the rows that are Python objects at a time; rows with long lists need few.
+    """
     small_batches(df.sparkSession)
     kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -43,7 +46,9 @@ def arrow_map(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]], s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def columns() -> Iterator[dict]:
             for batch in batches:
-                yield {name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)}
+                for at in range(0, batch.num_rows, at_once):
+                    part = batch.slice(at, at_once)
+                    yield {name: part.column(i).to_pylist() for i, name in enumerate(part.schema.names)}
 
         for out in rows(columns()):
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)

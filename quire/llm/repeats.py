@@ -156,7 +156,7 @@ def _occurrences(base: DataFrame, length: int, gram: int) -> DataFrame:
             yield out
 
     texts = base.select("id", "th", F.col("text").cast("binary").alias("text"))
-    return arrow_map(texts, rows, "id long, th long, a long, c long, at long, windows int, offset int")
+    return arrow_map(texts, rows, "id long, th long, a long, c long, at long, windows int, offset int", at_once=32)
 
 
 def _fetch(base: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -175,7 +175,7 @@ def _fetch(base: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             yield out
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in wanted.select("id", "th", *fields).schema)
-    return arrow_map(met.select("id", "th", "text", "wanted"), rows, f"{kinds}, bytes binary")
+    return arrow_map(met.select("id", "th", "text", "wanted"), rows, f"{kinds}, bytes binary", at_once=4)
 
 
 PLACED = "id long, th long, at long, spans array<struct<lo: long, hi: long>>"
@@ -357,6 +357,6 @@ def remove_repeats(
     from pyspark.sql import types as T
 
     result = T._parse_datatype_string("n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text)
-    done = arrow_map(met, rows, T.StructType([T.StructField("row", kind), T.StructField("was", T.StringType()), T.StructField("out", result)]))
+    done = arrow_map(met, rows, T.StructType([T.StructField("row", kind), T.StructField("was", T.StringType()), T.StructField("out", result)]), at_once=32)
     order = [F.col("was").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns if c != out and (with_text or c != text_col)]
     return done.select(*order, F.col("out").alias(out))
