@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.engine import cut, delete_path, scratch_path, table
+from quire.engine import delete_path, scratch_path, table
 from quire.functions import hashing
 from quire.functions import text as tx
 from quire.operators import books as bk
@@ -263,8 +263,8 @@ def fts_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     terms = spark.createDataFrame([(t, t) for t in ("the", "de", "und", "que", "and")], "query string, term string")
-    index = cut(rt.postings(docs, "doc_id", "text", folded=False))  # the stored index of a corpus
-    best = rt.top_k(rt.bm25(index, docs, terms, "doc_id"), 10, "doc_id")
+    index, totals = rt.scan_terms(docs, "doc_id", "text", terms)  # five terms
+    best = rt.top_k(rt.bm25(index, docs, terms, "doc_id", totals), 10, "doc_id")
     return best.select("query", "doc_id", F.col("rank").cast("long").alias("rank"))
 
 

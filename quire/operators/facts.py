@@ -70,10 +70,11 @@ def token_coverage(pairs: DataFrame, expected: str, observed: str, key: str, mis
     """Bag containment of ``expected`` tokens in ``observed``: (key, total, matched, coverage, unmatched).
 
     Both sides are exploded and counted by (key, token); no row holds more than one text's tokens.
+    (explode_outer, because plain explode makes Spark split every text a second time in a filter.)
     """
     split = lambda c: F.filter(F.split(F.lower(c), rf"[^{tx.WORD}]+"), lambda t: t != "")
-    want = pairs.select(key, F.posexplode(split(expected)).alias("pos", "token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("want"), F.min("pos").alias("pos"))
-    have = pairs.select(key, F.explode(split(observed)).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("have"))
+    want = pairs.select(key, F.posexplode_outer(split(expected)).alias("pos", "token")).where("token IS NOT NULL").groupBy(key, "token").agg(F.count(F.lit(1)).alias("want"), F.min("pos").alias("pos"))
+    have = pairs.select(key, F.explode_outer(split(observed)).alias("token")).where("token IS NOT NULL").groupBy(key, "token").agg(F.count(F.lit(1)).alias("have"))
     joined = want.join(have, [key, "token"], "left").withColumn("have", F.coalesce("have", F.lit(0)))
     lacks = F.sort_array(F.collect_list(F.when(F.col("want") > F.col("have"), F.struct("pos", F.array_repeat("token", (F.col("want") - F.col("have")).cast("int")).alias("tokens")))))
     found = joined.groupBy(key).agg(F.sum("want").alias("total"), F.sum(F.least("want", "have")).alias("matched"), F.slice(F.flatten(F.transform(lacks, lambda x: x["tokens"])), 1, missing).alias("unmatched"))
@@ -92,7 +93,7 @@ def containment(blocks: DataFrame, tables: DataFrame, ratio: float = 0.95) -> Da
 
 def accounted_tables(contained: DataFrame, tables: DataFrame) -> DataFrame:
     """Tables whose own words cover those of the blocks inside: (book, page, table, accounted)."""
-    words = lambda df, text: df.select("book", "page", "table", F.explode(F.filter(F.split(F.lower(text), rf"[^{tx.WORD}]+"), lambda w: w != "")).alias("token")).groupBy("book", "page", "table", "token").count()
+    words = lambda df, text: df.select("book", "page", "table", F.explode_outer(F.filter(F.split(F.lower(text), rf"[^{tx.WORD}]+"), lambda w: w != "")).alias("token")).where("token IS NOT NULL").groupBy("book", "page", "table", "token").count()
     inside, own = words(contained, "text").withColumnRenamed("count", "need"), words(tables, "text").withColumnRenamed("count", "have")
     met = inside.join(own, ["book", "page", "table", "token"], "left").groupBy("book", "page", "table").agg(F.bool_and(F.coalesce("have", F.lit(0)) >= F.col("need")).alias("accounted"))
     return tables.select("book", "page", "table").join(met, ["book", "page", "table"], "left").withColumn("accounted", F.coalesce("accounted", F.lit(True)))

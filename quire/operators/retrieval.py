@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.engine import cut
 from quire.functions import hashing, plain
 from quire.functions import text as tx
 
@@ -42,11 +43,11 @@ def postings(chunks: DataFrame, key: str, body: str, section: str | None = None,
     texts without composed letters.
     """
     terms = index_terms if folded else (lambda c: tx.lookup_terms(F.col(c)))
-    parts = [chunks.select(key, F.explode(terms(body)).alias("term"), F.lit(1).alias("in_body"))]
+    parts = [chunks.select(key, F.explode_outer(terms(body)).alias("term"), F.lit(1).alias("in_body"))]
     if section:
-        parts.append(chunks.select(key, F.explode(terms(section)).alias("term"), F.lit(0).alias("in_body")))
+        parts.append(chunks.select(key, F.explode_outer(terms(section)).alias("term"), F.lit(0).alias("in_body")))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return rows.groupBy(key, "term").agg(F.sum("in_body").alias("tf_body"), F.sum(1 - F.col("in_body")).alias("tf_section"))
+    return rows.where("term IS NOT NULL").groupBy(key, "term").agg(F.sum("in_body").alias("tf_body"), F.sum(1 - F.col("in_body")).alias("tf_section"))
 
 
 def lengths(index: DataFrame, key: str) -> DataFrame:
@@ -54,13 +55,33 @@ def lengths(index: DataFrame, key: str) -> DataFrame:
     return index.groupBy(key).agg(F.sum(F.col("tf_body") + F.col("tf_section")).alias("dl"))
 
 
-def bm25(index: DataFrame, documents: DataFrame, queries: DataFrame, key: str) -> DataFrame:
+def scan_terms(chunks: DataFrame, key: str, body: str, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(postings of the asked ``terms`` with lengths, lengths of all texts) from the texts, when no index is stored.
+
+    Lengths are array sizes and only asked terms are grouped, so nothing but matches is shuffled.
+    The asked terms are a user's questions: few enough to broadcast, which is checked.
+    """
+    asked = terms.select("term").distinct()
+    if asked.limit(100_001).count() > 100_000:
+        raise ValueError("more than 100,000 terms: ask in blocks")
+    split = chunks.select(key, tx.lookup_terms(F.col(body)).alias("all_terms"))
+    # explode_outer: plain explode makes Spark split every text a second time in a filter
+    found = split.select(key, F.size("all_terms").cast("long").alias("dl"), F.explode_outer("all_terms").alias("term")).join(F.broadcast(asked), "term", "left_semi")
+    index = found.groupBy(key, "dl", "term").agg(F.count(F.lit(1)).alias("tf_body"), F.lit(0).cast("long").alias("tf_section"))
+    return cut(index), split.select(key, F.size("all_terms").cast("long").alias("dl"))
+
+
+def bm25(index: DataFrame, documents: DataFrame, queries: DataFrame, key: str, totals: DataFrame | None = None) -> DataFrame:
     """Scores (query, key, score), smaller is better: the weighted BM25 of the common full-text engines.
 
     ``queries`` has (query, term) with distinct terms.  Only the queries' terms of the index are
-    joined; a document's length comes by its key.  ``documents`` is one row a document, for the count.
+    joined.  ``documents`` is one row a document, for the count.  Lengths are the index's column
+    ``dl`` if it has one, with ``totals`` (key, dl) of all documents for the average; otherwise both
+    come from the index.
     """
-    totals = lengths(index, key)
+    totals = lengths(index, key) if totals is None else totals
+    if "dl" not in index.columns:
+        index = index.join(totals, key)
     n_docs, all_tokens = documents.count(), totals.agg(F.sum("dl")).head()[0] or 0
     terms = queries.select("term").distinct()
     asked = index.join(F.broadcast(terms) if terms.limit(10_001).count() <= 10_000 else terms, "term", "left_semi")
@@ -69,7 +90,7 @@ def bm25(index: DataFrame, documents: DataFrame, queries: DataFrame, key: str) -
     f = BODY_WEIGHT * F.col("tf_body") + SECTION_WEIGHT * F.col("tf_section")
     average = all_tokens / max(1, n_docs) or 1.0
     weight = F.when(idf > 0, idf).otherwise(F.lit(1e-6)) * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("dl") / average))
-    scored = asked.join(df, "term").join(totals, key).join(queries, "term").select("query", key, weight.alias("w"))
+    scored = asked.join(df, "term").join(queries, "term").select("query", key, weight.alias("w"))
     return scored.groupBy("query", key).agg((-F.sum("w")).alias("score"))
 
 
