@@ -27,14 +27,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import arrow_map
+from quire.llm.common import arrow_map, cached
 
 #: The byte-level pre-tokeniser's pattern (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_WORDS = 250_000
+CACHE_WORDS = 450_000
 LONG_WORD = 100
 SHORT_WORD = 40
-_CODECS: dict[str, BpeCodec] = {}
 
 
 def byte_letters() -> dict[str, int]:
@@ -251,9 +250,7 @@ class BpeCodec:
 
 def codec(path: str) -> BpeCodec:
     """The worker's codec of ``path``, kept from task to task."""
-    if path not in _CODECS:
-        _CODECS[path] = BpeCodec(path)
-    return _CODECS[path]
+    return cached("bpe", path, lambda: BpeCodec(path))
 
 
 def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -263,7 +260,7 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
         for batch in batches:
             yield {"id": batch["id"], "ids": codec(path).encode([t or "" for t in batch["text"]])}
 
-    return arrow_map(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), rows, "id long, ids array<int>")
+    return arrow_map(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), rows, "id long, ids array<int>", owner="bpe")
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
@@ -273,7 +270,7 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             yield {"id": batch["id"], "text": [codec(path).decode(ids or ()) for ids in batch["ids"]]}
 
-    return arrow_map(tokens.select("id", "ids"), rows, "id long, text string")
+    return arrow_map(tokens.select("id", "ids"), rows, "id long, text string", owner="bpe")
 
 
 def round_trip(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -297,4 +294,4 @@ def round_trip(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
             }
 
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return arrow_map(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), rows, schema)
+    return arrow_map(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), rows, schema, owner="bpe")

@@ -26,16 +26,33 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: Rows an Arrow batch may hold; documents are long, so far fewer than Spark's 10,000.
 BATCH_ROWS = 256
 
+#: What a Python worker keeps from task to task, by operator; another operator's pass lets go of it.
+CACHES: dict[str, dict] = {}
+
+
+def cached(owner: str, key: str, make: Callable[[], object]) -> object:
+    """``make()``, once in a worker for as long as it works for ``owner``."""
+    mine = CACHES.setdefault(owner, {})
+    if key not in mine:
+        mine[key] = make()
+    return mine[key]
+
+
+def drop_caches(but: str) -> None:
+    for owner in [o for o in CACHES if o != but]:
+        del CACHES[owner]
+
 
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Python worker holds at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def arrow_map(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]], schema: T.StructType | str, at_once: int = BATCH_ROWS) -> DataFrame:
+def arrow_map(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]], schema: T.StructType | str, at_once: int = BATCH_ROWS, owner: str = "") -> DataFrame:
     """``mapInArrow`` over column dictionaries: ``rows`` gets and yields {column: list or array}.
 
     ``at_once`` bounds the rows that are Python objects at a time; rows with long lists need few.
+    ``owner`` names the caches of the worker that this pass goes on using.
     """
     small_batches(df.sparkSession)
     kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
@@ -44,6 +61,10 @@ def arrow_map(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]], s
     arrow = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from quire.llm.common import drop_caches  # the worker's own module
+
+        drop_caches(owner)
+
         def columns() -> Iterator[dict]:
             for batch in batches:
                 for at in range(0, batch.num_rows, at_once):

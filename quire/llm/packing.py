@@ -28,12 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.engine import cut
-from quire.llm.common import arrow_map
+from quire.llm.common import arrow_map, cached
 
 #: The vocabulary's own split of normalised text (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 CACHE_WORDS = 700_000
-_ENCODERS: dict[str, WordEncoder] = {}
+CACHE_PARTS = 400_000
 
 
 class WordEncoder:
@@ -104,7 +104,7 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > CACHE_WORDS:
             self.words = {"": b""}
-        if len(self.parts) > CACHE_WORDS:
+        if len(self.parts) > CACHE_PARTS:
             self.parts = {}
         found, new, get = [], set(), self.words.get
         for text in texts:
@@ -124,9 +124,7 @@ class WordEncoder:
 
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder of ``path``, kept from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return cached("packing", path, lambda: WordEncoder(path))
 
 
 def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str, text_col: str, end_id: int, with_ids: bool) -> DataFrame:
@@ -148,7 +146,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, id_col: str,
             yield out
 
     schema = "id long, piece int, start long, length long, crc long, task int, ordinal long" + ", ids binary" * with_ids
-    return arrow_map(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), rows, schema)
+    return arrow_map(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), rows, schema, owner="packing")
 
 
 class Classes:
