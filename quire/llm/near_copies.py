@@ -79,11 +79,13 @@ def similarity(a: bytes, b: bytes) -> tuple[float, bool]:
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, least: float, slack: float, max_bits: int) -> DataFrame:
-    """The pairs (a, b) whose whole fingerprints and shingles agree."""
+    """Those of the materialised ``pairs`` (a, b) whose whole fingerprints and shingles agree."""
     one = nodes.select(F.col("n").alias("a"), F.col("segments").alias("s1"), F.col("sketch").alias("k1"))
     two = nodes.select(F.col("n").alias("b"), F.col("segments").alias("s2"), F.col("sketch").alias("k2"))
     distance = F.aggregate(F.zip_with("s1", "s2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    met = pairs.join(one, "a").join(two, "b").where(distance <= max_bits).select("a", "b", "k1", "k2")
+    # Leaders are asked by many: such nodes are met by a bounded broadcast, and the pairs don't move again.
+    lookup = two.join(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("asked")), "b")
+    met = split_hot(pairs.join(one, "a"), lookup, ["b"], "asked", pairs.count()).where(distance <= max_bits).select("a", "b", "k1", "k2")
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
@@ -105,14 +107,19 @@ def _links(nodes: DataFrame, bucket: int, least: float, slack: float, max_bits:
     some = not crowded.isEmpty()
     few = [t.join(crowded, "key", "left_anti") if some else t for t in (probes, postings)]
     met = few[0].withColumnRenamed("n", "x").join(few[1].withColumnRenamed("n", "y"), "key").where("x <> y")
-    edges = _verified(met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), nodes, least, slack, max_bits)
+    pairs = cut(met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+    edges = cut(_verified(pairs, nodes, least, slack, max_bits))
+    del met, pairs
+    release(nodes.sparkSession)
     members = cut(probes.join(crowded, "key", "left_semi").select("key", "n")) if some else None
     while members is not None and (total := members.count()):
         leaders = members.groupBy("key").agg(F.min("n").alias("leader"), F.count(F.lit(1)).alias("size"))
         asked = cut(split_hot(members, leaders, ["key"], "size", total).where("n <> leader").select("key", F.col("n").alias("a"), F.col("leader").alias("b")))
-        good = cut(_verified(asked.select("a", "b").distinct(), nodes, least, slack, max_bits))
+        good = cut(_verified(cut(asked.select("a", "b").distinct()), nodes, least, slack, max_bits))
         edges = edges.unionByName(good)
         members = cut(asked.join(good, ["a", "b"], "left_anti").select("key", F.col("a").alias("n")))
+        del leaders, asked, good
+        release(nodes.sparkSession)
     return edges
 
 
