@@ -33,7 +33,7 @@ from quire.llm.common import arrow_map, cached
 #: The vocabulary's own split of normalised text (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 CACHE_WORDS = 700_000
-CACHE_PARTS = 400_000
+CACHE_PARTS = 700_000
 
 
 class WordEncoder:
