@@ -1,31 +1,32 @@
 """Near copies by Jaccard similarity, on top of ``simhash`` (operator 5 as a pipeline stage).
 
 Two of 64 bits find texts that are nearly the same; a similarity of 0.8 of five-word shingles is
-further apart.  So the stage goes on with the representatives of those components and a wide
-fingerprint: 336 bits over the distinct word pairs (an edit changes two of them but five shingles, so
-near copies are closer), in twelve segments of 28 bits.  Each segment value is posted in its table,
-and each table is probed with the value and its Hamming ball of radius 1.  A pair at similarity 0.8
-differs in about 9.5 % of the bits and meets in one of the tables with a probability of 96 %, at 0.9
-with more than 99 %; unrelated texts meet once in a million.  Matches are verified twice: by the
-distance of the whole fingerprints, and by the Jaccard similarity of the shingles themselves, exact
-for texts of up to ``SKETCH`` shingles and from their ``SKETCH`` least hashes beyond.
-
-A posting list longer than ``bucket`` makes no pairs.  Its members (all that probe it) are compared
-with the least of them, those that match are linked to it, and the rest go on to the next round, until
-nobody is left; so a large group costs rows, not squares.
+further apart.  So every distinct text is a node, its 64-bit links are edges, and an exact prefix join
+finds the others: in one order of all shingles (by hash), two sets of similarity ``least`` share one
+of their first ``n - ceil(least * n) + 1`` shingles.  Each text is posted at those; lists make pairs of
+what sizes and positions allow, and pairs are verified on their whole shingle sets.  Nothing is
+sampled or estimated: the links are those that a comparison of all pairs would find.
+
+Only links between texts that aren't connected yet can change the result.  A list longer than
+``bucket`` makes use of that: its members ask, one leader a member and round, for a link to the list's
+largest group, while that at least halves them; what is left outside is then compared with every
+member of another group.  A large group of near copies so costs rows, not squares; a long list of
+texts that stay unconnected is compared in full.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.engine import cut, delete_path, release, stored
-from quire.llm.common import arrow_map, split_hot
+from quire.engine import broadcast_if_small, cut, delete_path, release, stored
+from quire.llm.common import BATCH_ROWS, arrow_map, split_hot
 from quire.llm.components import components
 from quire.llm.simhash import FOLD, _components, simhash
 
@@ -78,88 +79,241 @@ def similarity(a: bytes, b: bytes) -> tuple[float, bool]:
     return float(np.isin(both, shared, assume_unique=True).sum()) / max(1, len(both)), exact
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, least: float, slack: float, max_bits: int) -> DataFrame:
-    """Those of the materialised ``pairs`` (a, b) whose whole fingerprints and shingles agree."""
-    one = nodes.select(F.col("n").alias("a"), F.col("segments").alias("s1"), F.col("sketch").alias("k1"))
-    two = nodes.select(F.col("n").alias("b"), F.col("segments").alias("s2"), F.col("sketch").alias("k2"))
-    distance = F.aggregate(F.zip_with("s1", "s2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+def _signed(value: int) -> int:
+    return (value ^ (1 << 63)) - (1 << 63)
+
+
+def text_key(words: list[bytes]) -> int:
+    """The node of a text: texts of the same words are one."""
+    return _signed(xxhash.xxh64_intdigest(b" ".join(words)))
+
+
+def prefix_length(size: int, least: float) -> int:
+    """Of how many first shingles a set of ``size`` shares one with every set of similarity ``least``."""
+    return size - math.ceil(least * size - 1e-9) + 1
+
+
+def _pairs_of_lists(bucket: int, least: float):
+    """Pass over postings sorted by key: pairs (a, b) of lists of up to ``bucket``, members (key, ...) of longer ones."""
+    names = ("key", "n", "label", "size", "pos")
+    schema = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("label", pa.int64()), ("size", pa.int32()), ("pos", pa.int32())])
+
+    def members(t: dict) -> pa.RecordBatch:
+        none = pa.nulls(len(t["key"]), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(t["key"]), pa.array(t["n"]), none, pa.array(t["label"]), pa.array(t["size"]), pa.array(t["pos"])], schema=schema)
+
+    def pairs(t: dict) -> pa.RecordBatch | None:
+        found = []
+        for d in range(1, bucket):
+            at = np.flatnonzero(t["key"][:-d] == t["key"][d:])
+            if not len(at):
+                break
+            (x, s, p), (y, r, q) = ((t["n"][i], t["size"][i].astype(np.int64), t["pos"][i]) for i in (at, at + d))
+            whole = np.ceil(least / (1 + least) * (s + r) - 1e-9)
+            fits = (t["label"][at] != t["label"][at + d]) & (np.minimum(s, r) >= least * np.maximum(s, r) - 1e-9) & (np.minimum(s - p, r - q) >= whole)
+            found.append(np.stack([np.maximum(x, y)[fits], np.minimum(x, y)[fits]]))
+        if not found:
+            return None
+        a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+        none, few = pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int32())
+        return pa.RecordBatch.from_arrays([none, pa.array(a), pa.array(b), none, few, few], schema=schema)
+
+    def split(t: dict) -> Iterator[pa.RecordBatch]:
+        starts = np.flatnonzero(np.r_[True, t["key"][1:] != t["key"][:-1]])
+        length = np.repeat(lengths := np.diff(np.r_[starts, len(t["key"])]), lengths)
+        if (long := length > bucket).any():
+            yield members({c: v[long] for c, v in t.items()})
+        some = (length > 1) & ~long
+        if some.any() and (out := pairs({c: v[some] for c, v in t.items()})) is not None:
+            yield out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left, passed = None, None  # the last list so far, and the key of a long one whose members go straight through
+        for batch in batches:
+            t = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(names)}
+            if left is not None:
+                t = {c: np.concatenate([left[c], t[c]]) for c in names}
+            if passed is not None and (more := t["key"] == passed).any():
+                yield members({c: v[more] for c, v in t.items()})
+                t = {c: v[~more] for c, v in t.items()}
+            left = None
+            if not len(t["key"]):
+                continue
+            last = t["key"] == t["key"][-1]
+            if last.sum() > bucket:
+                passed = t["key"][-1]
+                yield members({c: v[last] for c, v in t.items()})
+            else:
+                left = {c: v[last] for c, v in t.items()}
+            if not last.all():
+                yield from split({c: v[~last] for c, v in t.items()})
+        if left is not None:
+            yield from split(left)
+
+    return run
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Those of the materialised ``pairs`` (a, b) whose whole shingle sets are similar; many pairs go in portions, so disk use is bounded."""
+    portions = -(-pairs.count() // max(5_000, sets.count() // 2))
+    if portions <= 1:
+        return cut(_similar(pairs, sets, least))
+    found = None
+    for k in range(portions):
+        part = cut(_similar(cut(pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(portions)) == k)), sets, least))
+        found = part if found is None else found.unionByName(part)
+        release(pairs.sparkSession)
+    return found
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    one, two = (sets.select(F.col("n").alias(n), F.col("shingles").alias(k)) for n, k in (("a", "k1"), ("b", "k2")))
     # Leaders are asked by many: such nodes are met by a bounded broadcast, and the pairs don't move again.
     lookup = two.join(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("asked")), "b")
-    met = split_hot(pairs.join(one, "a"), lookup, ["b"], "asked", pairs.count()).where(distance <= max_bits).select("a", "b", "k1", "k2")
+    met = split_hot(pairs.join(one, "a"), lookup, ["b"], "asked", pairs.count()).select("a", "b", "k1", "k2")
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
-            found = [similarity(x, y) for x, y in zip(batch["k1"], batch["k2"], strict=True)]
-            keep = [k for k, (j, exact) in enumerate(found) if j >= (least if exact else least - slack)]
+            keep = []
+            for k, (x, y) in enumerate(zip(batch["k1"], batch["k2"], strict=True)):
+                shared = len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True))
+                if shared >= least * ((len(x) + len(y)) // 8 - shared) - 1e-9:
+                    keep.append(k)
             yield {"a": [batch["a"][k] for k in keep], "b": [batch["b"][k] for k in keep]}
 
     return arrow_map(met, rows, "a long, b long")
 
 
-def _links(nodes: DataFrame, bucket: int, least: float, slack: float, max_bits: int) -> DataFrame:
-    """Verified edges (a, b) between nodes (n, segments, sketch)."""
-    masks = F.array(*[F.lit(1 << b) for b in range(BITS)])
-    key = lambda i, s: s.cast("long").bitwiseOR(F.shiftleft(i.cast("long"), BITS))
-    ball = lambda s, i: F.transform(F.array_distinct(F.concat(F.array(s), F.transform(masks, lambda m: s.bitwiseOR(m)))), lambda v: key(i, v))
-    postings = nodes.select("n", F.explode(F.transform("segments", lambda s, i: key(i, s))).alias("key"))
-    probes = nodes.select("n", F.explode(F.flatten(F.transform("segments", ball))).alias("key"))
-    crowded = cut(postings.groupBy("key").count().where(F.col("count") > bucket).select("key"))
-    some = not crowded.isEmpty()
-    few = [t.join(crowded, "key", "left_anti") if some else t for t in (probes, postings)]
-    met = few[0].withColumnRenamed("n", "x").join(few[1].withColumnRenamed("n", "y"), "key").where("x <> y")
-    pairs = cut(met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
-    edges = cut(_verified(pairs, nodes, least, slack, max_bits))
-    del met, pairs
-    release(nodes.sparkSession)
-    members = cut(probes.join(crowded, "key", "left_semi").select("key", "n")) if some else None
-    while members is not None and (total := members.count()):
-        leaders = members.groupBy("key").agg(F.min("n").alias("leader"), F.count(F.lit(1)).alias("size"))
-        asked = cut(split_hot(members, leaders, ["key"], "size", total).where("n <> leader").select("key", F.col("n").alias("a"), F.col("leader").alias("b")))
-        good = cut(_verified(cut(asked.select("a", "b").distinct()), nodes, least, slack, max_bits))
-        edges = edges.unionByName(good)
-        members = cut(asked.join(good, ["a", "b"], "left_anti").select("key", F.col("a").alias("n")))
-        del leaders, asked, good
-        release(nodes.sparkSession)
+def _pair_links(pairs: DataFrame, near: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """``near`` and verified edges that connect what all of ``pairs`` connect: one pair a text and round, then the rest."""
+    edges, before = near, None
+    while now := (asked := cut(pairs.groupBy("a").agg(F.min("b").alias("b")))).count():
+        if before is not None and now * 2 > before:
+            return edges.unionByName(_verified(pairs, sets, least))
+        edges = cut(edges.unionByName(_verified(asked, sets, least)))
+        roots = components(edges)
+        for n in ("a", "b"):
+            pairs = pairs.join(roots.select(F.col("node").alias(n), F.col("root").alias(f"r{n}")), n, "left")
+        pairs = cut(pairs.where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b").join(asked, ["a", "b"], "left_anti"))
+        before = now
+        del roots, asked
+        release(near.sparkSession)
     return edges
 
 
+def _minor(members: DataFrame, turn: int) -> DataFrame:
+    """Members of long lists outside their list's largest group, with a ``leader`` inside it; lists of one group have none."""
+    parts = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.min_by("n", F.xxhash64("n", F.lit(turn))).alias("n"))
+    main = parts.groupBy("key").agg(F.max_by(F.struct("label", "n"), F.struct("c", "label")).alias("main"), F.sum("c").alias("weight"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    joined = split_hot(members, main, ["key"], "weight", members.count()).where("label <> main.label")
+    return cut(joined.select(*members.columns, F.col("main.n").alias("leader"), F.col("main.label").alias("leader_label")))
+
+
+def _long_links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame | None:
+    """Verified edges that connect what the long lists' members (key, n, label, size, pos) connect in all."""
+    edges, before, turn = None, None, 0
+    while True:
+        minor = _minor(members, turn)
+        asked = cut(minor.groupBy(F.col("n").alias("a"), "label").agg(F.min(F.struct("leader", "leader_label")).alias("l")).select("a", "label", F.col("l.leader").alias("b"), F.col("l.leader_label").alias("to")))
+        now = asked.count()
+        if not now:
+            return edges
+        if before is not None and now * 2 > before:
+            break
+        good = _verified(asked.select("a", "b"), sets, least)
+        edges = good if edges is None else edges.unionByName(good)
+        roots = components(asked.join(good, ["a", "b"], "left_semi").select(F.col("label").alias("a"), F.col("to").alias("b")))
+        roots = broadcast_if_small(roots.withColumnRenamed("node", "label"), 500_000)
+        members = cut(members.join(roots, "label", "left").select("key", "n", F.coalesce("root", "label").alias("label"), "size", "pos"))
+        before, turn = now, turn + 1
+        del minor, asked, good, roots
+        release(members.sparkSession)
+    x, y = (t.select("key", *[F.col(c).alias(c + i) for c in ("n", "label", "size", "pos")]) for t, i in ((minor, "1"), (members, "2")))
+    fits = f"""label1 <> label2 AND least(size1, size2) >= {least}D * greatest(size1, size2) - 1e-9
+        AND least(size1 - pos1, size2 - pos2) >= ceil({least / (1 + least)!r}D * (size1 + size2) - 1e-9)"""
+    rest = cut(x.join(y, "key").where(fits).select(F.greatest("n1", "n2").alias("a"), F.least("n1", "n2").alias("b")).distinct())
+    good = _verified(rest, sets, least)
+    return good if edges is None else edges.unionByName(good)
+
+
+def _shingle_sets(docs: DataFrame, need: DataFrame) -> DataFrame:
+    """Whole shingle sets (n, shingles) of the needed nodes (n, rep) from rows (id, text)."""
+
+    def rows(batches: Iterator[dict]) -> Iterator[dict]:
+        for batch in batches:
+            words = [(t or b"").translate(FOLD).split() for t in batch["text"]]
+            yield {"n": list(map(text_key, words)), "shingles": [_shingles(w, 5).astype("<u8").tobytes() for w in words]}
+
+    ids = broadcast_if_small(need.select("rep").distinct(), 500_000)
+    texts = docs.join(ids, docs["id"].eqNullSafe(ids["rep"]), "left_semi")
+    return arrow_map(texts, rows, "n long, shingles binary").join(need.select("n"), "n", "left_semi").dropDuplicates(["n"])
+
+
+def _links(docs: DataFrame, nodes: DataFrame, near: DataFrame, bucket: int, least: float) -> DataFrame:
+    """``near`` and verified edges (a, b) between nodes (n, rep, label, size, prefix) of different labels."""
+    spark = docs.sparkSession
+    postings = nodes.select("n", "label", "size", F.posexplode("prefix").alias("pos", "key")).select("key", "n", "label", "size", "pos")
+    ordered = postings.repartition("key").sortWithinPartitions("key")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8192")  # short rows
+    met = cut(ordered.mapInArrow(_pairs_of_lists(bucket, least), "key long, a long, b long, label long, size int, pos int"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    release(spark)
+    pairs = cut(met.where("key IS NULL").select("a", "b").distinct())
+    members = met.where("key IS NOT NULL").select("key", F.col("a").alias("n"), "label", "size", "pos")
+    mixed = members.groupBy("key").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).where("l1 <> l2").select("key")
+    members = cut(members.join(mixed, "key", "left_semi"))
+    used = pairs.select(F.col("a").alias("n")).unionByName(pairs.select(F.col("b").alias("n"))).unionByName(members.select("n")).distinct()
+    need = cut(nodes.select("n", "rep").join(used, "n", "left_semi"))
+    sets = cut(_shingle_sets(docs, need))
+    release(spark)
+    del met, used, need
+    release(spark)
+    edges = _pair_links(pairs, near, sets, least)
+    release(spark)
+    more = None if members.isEmpty() else _long_links(members, sets, least)
+    return edges if more is None else edges.unionByName(more)
+
+
 def keep_one_of_each(
     docs: DataFrame,
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
     least: float = 0.8,
-    slack: float = 0.03,
-    max_bits: int = 64,
     bucket: int = 64,
 ) -> DataFrame:
     """The input rows without near copies: of each group the row with the smallest id stays.
 
-    Groups are connected by links of two kinds: 64-bit fingerprints (three-word shingles) with at
-    most 2 differing bits, and a Jaccard similarity of five-word shingles of ``least`` or more; where
-    it is estimated, ``slack`` is allowed for.  Rows that share the smallest id count as one
-    document, and one of them stays.  Rows with a null id can't stand for a group; they all stay.
-    Texts without words are copies of one another.  An empty table gives an empty result.
+    Groups are connected by links of two kinds between any two texts: 64-bit fingerprints (three-word
+    shingles) with at most 2 differing bits, and a Jaccard similarity of five-word shingles of
+    ``least`` or more.  Rows that share the smallest id count as one document, and one of them stays.
+    Rows with a null id can't stand for a group; they all stay.  Texts without words are copies of
+    one another.  An empty table gives an empty result.
     """
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
             words = [(t or b"").translate(FOLD).split() for t in batch["text"]]
-            fps = [simhash(t or b"") for t in batch["text"]]
-            yield {"id": batch["id"], "fp": [(f ^ (1 << 63)) - (1 << 63) for f in fps], "segments": list(map(wide_fingerprint, words)), "sketch": list(map(sketch, words))}
+            sets = [_shingles(w, 5) for w in words]
+            yield {
+                "id": batch["id"], "n": list(map(text_key, words)), "fp": [_signed(simhash(t or b"")) for t in batch["text"]],
+                "size": list(map(len, sets)), "prefix": [s[: prefix_length(len(s), least)].view(np.int64) for s in sets],
+            }
 
     read = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    prints, path = stored(arrow_map(read, rows, "id long, fp long, segments array<int>, sketch binary"), "fingerprints")
-    groups = _components(cut(prints.select("id", "fp")), 32)
-    own = cut(groups.where("id = component_id").groupBy("id").agg(F.count(F.lit(1)).alias("rows")))
-    nodes = prints.where("id IS NOT NULL").join(own.select("id"), "id", "left_semi").groupBy("id").agg(F.first("segments").alias("segments"), F.first("sketch").alias("sketch"))
-    nodes = cut(nodes.withColumnRenamed("id", "n"))
-    delete_path(docs.sparkSession, path)
+    prints, path = stored(arrow_map(read, rows, "id long, n long, fp long, size int, prefix array<long>"), "fingerprints")
+    texts = prints.groupBy("n").agg(F.min("id").alias("rep"), F.first("fp").alias("fp"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    groups = _components(cut(prints.select(F.col("n").alias("id"), "fp").distinct()), 32).select(F.col("id").alias("n"), F.col("component_id").alias("label"))
+    nodes = cut(texts.join(groups, "n"))
+    near = nodes.where("n <> label").select(F.col("n").alias("a"), F.col("label").alias("b"))
     release(docs.sparkSession)
-    roots = components(_links(nodes, bucket, least, slack, max_bits))
-    gone = roots.where("node <> root").select(F.col("node").alias("id"))
-    keepers = cut(own.join(gone, "id", "left_anti").withColumnRenamed("id", "k_id"))
-    del nodes, groups, roots, gone
+    roots = components(_links(read, nodes, near, bucket, least))
+    named = nodes.select("n", "rep").join(roots, nodes["n"] == roots["node"], "left").select("rep", F.coalesce("root", "n").alias("root"))
+    keep = named.groupBy("root").agg(F.min("rep").alias("k_id")).where("k_id IS NOT NULL").select("k_id").distinct()
+    own = prints.where("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("rows"))
+    keepers = cut(keep.join(own, F.col("k_id") == F.col("id")).select("k_id", "rows"))
+    delete_path(docs.sparkSession, path)
+    del nodes, groups, roots, named
     release(docs.sparkSession)
     named = docs.join(keepers.select("k_id"), F.col(id_col) == F.col("k_id"), "left_semi")
     if not keepers.where("rows > 1").isEmpty():

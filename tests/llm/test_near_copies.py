@@ -3,6 +3,7 @@ import random
 import pytest
 
 from quire.llm.near_copies import SKETCH, keep_one_of_each, similarity, sketch, wide_fingerprint
+from quire.llm.simhash import simhash
 
 from .cases import SCHEMA, frame, rows
 from .test_simhash import brute as components_of
@@ -96,3 +97,38 @@ def test_edge_cases(spark):
     at_most = {c for (i, _, c) in components_of(rows()) if i is not None}
     assert set(ids) - {None} <= at_most and ids.count(None) == 1 and len(ids) == len(set(ids))
     assert keep_one_of_each(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+WORDS = [f"w{k}" for k in range(20000)]
+
+
+def draw(seed, n):
+    return random.Random(seed).sample(WORDS, n)
+
+
+def brute_kept(texts, least=0.8):
+    """The least of each group of texts linked at ``least`` or more, all pairs compared."""
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if shared >= least * (len(sets[i]) + len(sets[j]) - shared):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {find(i) for i in range(len(texts))}
+
+
+@pytest.mark.parametrize("bucket", [64, 4])
+def test_long_lists_lose_no_link(spark, bucket):
+    """A leads, X is near A and Y near X but not near A; over 64 copies crowd the lists."""
+    base, other = draw(11, 400), draw(12, 400)
+    shift = lambda k: " ".join(base[k:] + other[:k])
+    texts = [shift(0), shift(80), shift(40)] + [shift(k % 20) + f" tail{k}" for k in range(90)] + [shift(120), shift(300)]
+    assert jaccard(texts[0], texts[1]) < 0.8 < min(jaccard(texts[0], texts[2]), jaccard(texts[2], texts[1]))
+    assert kept(spark, texts, bucket=bucket) == brute_kept(texts)
