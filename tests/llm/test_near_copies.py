@@ -132,3 +132,16 @@ def test_long_lists_lose_no_link(spark, bucket):
     texts = [shift(0), shift(80), shift(40)] + [shift(k % 20) + f" tail{k}" for k in range(90)] + [shift(120), shift(300)]
     assert jaccard(texts[0], texts[1]) < 0.8 < min(jaccard(texts[0], texts[2]), jaccard(texts[2], texts[1]))
     assert kept(spark, texts, bucket=bucket) == brute_kept(texts)
+
+
+def test_every_text_of_a_component_is_searched_from(spark):
+    """A and B are 2 bits apart or less, and only B is near C."""
+    base, other = draw(13, 2000), draw(14, 600)
+    for cut_off in range(1, 60):
+        a, b = " ".join(base), " ".join(base[cut_off:])
+        c = " ".join(base[cut_off:] + other[: (len(base) - cut_off) // 4 - 4])
+        if bin(simhash(a.encode()) ^ simhash(b.encode())).count("1") <= 2 and jaccard(a, c) < 0.8 <= jaccard(b, c):
+            break
+    else:
+        raise AssertionError("no such texts")
+    assert kept(spark, [a, b, c]) == {0}
