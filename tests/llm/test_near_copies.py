@@ -145,3 +145,15 @@ def test_every_text_of_a_component_is_searched_from(spark):
     else:
         raise AssertionError("no such texts")
     assert kept(spark, [a, b, c]) == {0}
+
+
+def test_cut_appended_and_replaced_texts(spark):
+    """Contiguous changes at similarities of 0.8 to 0.84: all are found."""
+    r, texts = random.Random(15), []
+    for k in range(120):
+        a, n = draw(1000 + k, 500), r.randint(406, 410)
+        new = draw(5000 + k, 500)
+        b = [a[:n], a + new[: 500 * 500 // n - 500], a[:200] + new[:48] + a[248:]][k % 3]
+        texts += [" ".join(a), " ".join(b)]
+        assert 0.8 <= jaccard(*texts[-2:]) < 0.84
+    assert kept(spark, texts) == set(range(0, len(texts), 2))
