@@ -157,3 +157,13 @@ def test_cut_appended_and_replaced_texts(spark):
         texts += [" ".join(a), " ".join(b)]
         assert 0.8 <= jaccard(*texts[-2:]) < 0.84
     assert kept(spark, texts) == set(range(0, len(texts), 2))
+
+
+def test_long_texts_just_below_the_limit_stay(spark):
+    """At similarities of 0.79 an estimate would take many of these for copies."""
+    texts = []
+    for k in range(120):
+        a = draw(9000 + k, 500)
+        texts += [" ".join(a), " ".join(a[:396])]
+        assert 0.78 < jaccard(*texts[-2:]) < 0.8
+    assert len(kept(spark, texts)) == len(texts)
