@@ -137,16 +137,18 @@ def ingest(
     ends = books.join(hashed.select("source_sha256", "path"), "source_sha256").select("path", (F.col("error").isNotNull()).alias("bad"), (F.col("status") == "complete").alias("done")).collect()  # one row a new file
     sinks.move_files(spark, [r.path for r in ends if r.bad], settings.path("failed"))
     sinks.move_files(spark, [r.path for r in ends if r.done and not r.bad], settings.path("processed"))
-    rebuild(spark, settings, [r.book_id for r in books.where("error IS NULL").select("book_id").limit(10_000).collect()])
+    rebuild(spark, settings, books.where("error IS NULL").select("book_id"))
     return books
 
 
-def rebuild(spark: SparkSession, settings: Settings, book_ids: list[str] | None = None, sidecars: DataFrame | None = None) -> None:
+def rebuild(spark: SparkSession, settings: Settings, book_ids: list[str] | DataFrame | None = None, sidecars: DataFrame | None = None) -> None:
     """Chunks of the named books, or all, from the stored pages; ``sidecars`` (book_id, license_json) renew bibliographies."""
     books, pages = _table(spark, settings, "books"), _table(spark, settings, "pages")
     if books is None or pages is None:
         raise ValueError("nothing has been ingested yet")
-    if book_ids is not None:
+    if isinstance(book_ids, DataFrame):
+        books, pages = (t.join(book_ids, "book_id", "left_semi").select(*t.columns) for t in (books, pages))
+    elif book_ids is not None:
         books, pages = (t.where(F.col("book_id").isin(book_ids)) for t in (books, pages))
     books = books.where(F.col("status").isin(pg.FINAL))
     if sidecars is not None:

@@ -153,3 +153,15 @@ def test_atomic_write(tmp_path):
     sinks.write_atomic(path, "one")
     sinks.write_atomic(path, b"two")
     assert (tmp_path / "x").read_text() == "two" and len(list(tmp_path.iterdir())) == 1
+
+
+def test_chunks_of_all_changed_books_whatever_their_number(spark, settings, monkeypatch):
+    """Any cap on the rebuilt books is lowered to one here."""
+    for k in range(3):
+        (settings.root / "inbox" / f"b{k}.pdf").write_text(document(f"words of book number {k} on its page"))
+    kind = type(spark.range(1))
+    limit = kind.limit
+    monkeypatch.setattr(kind, "limit", lambda self, n: limit(self, min(n, 1)))
+    books = ingest.ingest(spark, settings, converters.JsonDecoder, converters.TextConverter, now=NOW)
+    ids = {r.book_id for r in books.collect()}
+    assert len(ids) == 3 and {r.book_id for r in spark.read.parquet(settings.path("chunks")).select("book_id").collect()} == ids
