@@ -66,7 +66,7 @@ def _key(segment: int, value: Column) -> Column:
     return value.bitwiseOR(F.lit(segment << 32))
 
 
-def _links(nodes: DataFrame, bucket: int) -> DataFrame:
+def fingerprint_links(nodes: DataFrame, bucket: int) -> DataFrame:
     """Edges (a, b) between distinct fingerprints that connect all those within distance 2."""
     fp = F.col("fp")
     low, high = fp.bitwiseAND(F.lit(LOW)), F.shiftrightunsigned(fp, 32)
@@ -94,7 +94,7 @@ def _links(nodes: DataFrame, bucket: int) -> DataFrame:
 def _components(fps: DataFrame, bucket: int) -> DataFrame:
     """Rows (id, fp, component_id) from materialised rows (id, fp)."""
     nodes = cut(fps.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")))
-    roots = components(_links(nodes.select("fp"), bucket))
+    roots = components(fingerprint_links(nodes.select("fp"), bucket))
     member = cut(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", "copies", F.coalesce("root", "fp").alias("root")))
     groups = member.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n"))
     named = split_hot(member, groups, ["root"], "n", member.count()).select("fp", "copies", "component_id")

@@ -1,16 +1,16 @@
 import random
 
+import numpy as np
 import pytest
 
-from quire.llm.near_copies import SKETCH, keep_one_of_each, similarity, sketch, wide_fingerprint
-from quire.llm.simhash import simhash
+from quire.llm.near_copies import KeyFilter, block_links, keep_one_of_each, overlaps
+from quire.llm.simhash import FOLD, simhash
 
 from .cases import SCHEMA, frame, rows
-from .test_simhash import brute as components_of
 
 
 def shingles(text, n=5):
-    words = text.lower().split()
+    words = text.encode().translate(FOLD).split()
     return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))}
 
 
@@ -80,23 +80,38 @@ def test_dissimilar_texts_stay(spark):
     assert len(kept(spark, texts)) >= 119
 
 
-def test_sketches():
-    a = [f"w{k}".encode() for k in range(100)]
-    b = a[:50] + [b"x"] + a[51:]
-    j, exact = similarity(sketch(a), sketch(b))
-    assert exact and j == pytest.approx(91 / 101)
-    long_a, long_b = [f"w{k}".encode() for k in range(3000)], [f"w{k}".encode() for k in range(300, 3300)]
-    j, exact = similarity(sketch(long_a), sketch(long_b))
-    assert not exact and abs(j - 2696 / 3296) < 0.12 and len(sketch(long_a)) == 4 * SKETCH
-    assert wide_fingerprint([]) == wide_fingerprint([]) and len(wide_fingerprint(a)) == 12
+def brute_rows(found, least=0.8):
+    """Rows (id, text) that stay: the smallest id of each group of linked texts, once, and all null ids."""
+    known = [(i, t or "") for i, t in found]
+    sets, root = [shingles(t) for _, t in known], list(range(len(known)))
 
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
 
-def test_edge_cases(spark):
-    out = keep_one_of_each(frame(spark)).collect()
+    for i in range(len(known)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if shared >= least * (len(sets[i]) + len(sets[j]) - shared):
+                root[find(i)] = find(j)
+    groups = {}
+    for k, (i, _) in enumerate(known):
+        if i is not None:
+            groups[find(k)] = min(groups.get(find(k), i), i)
+    return set(groups.values())
+
+
+@pytest.mark.parametrize("bucket", [64, 2])
+def test_edge_cases(spark, bucket):
+    """Nulls, empty and long texts, ties, repeated rows, clashing column names, an empty table."""
+    out = keep_one_of_each(frame(spark), bucket=bucket).collect()
     ids = [r.doc_id for r in out]
-    at_most = {c for (i, _, c) in components_of(rows()) if i is not None}
-    assert set(ids) - {None} <= at_most and ids.count(None) == 1 and len(ids) == len(set(ids))
+    assert set(ids) - {None} == brute_rows([(r[0], r[1]) for r in rows()]) and ids.count(None) == 1 and len(ids) == len(set(ids))
+    assert out[0].__fields__ == SCHEMA.replace(" long", "").replace(" string", "").replace(" int", "").split(", ")
     assert keep_one_of_each(spark.createDataFrame([], SCHEMA)).count() == 0
+    clash = spark.createDataFrame([(1, "a b c", 5, 6, 7), (2, "A b c", 5, 6, 7)], "n long, text string, k_id long, rep long, rows long")
+    assert [tuple(r) for r in keep_one_of_each(clash, id_col="n").collect()] == [(1, "a b c", 5, 6, 7)]
 
 
 WORDS = [f"w{k}" for k in range(20000)]
@@ -167,3 +182,44 @@ def test_long_texts_just_below_the_limit_stay(spark):
         texts += [" ".join(a), " ".join(a[:396])]
         assert 0.78 < jaccard(*texts[-2:]) < 0.8
     assert len(kept(spark, texts)) == len(texts)
+
+
+@pytest.mark.parametrize("bucket", [64, 8])
+def test_a_passage_in_many_texts_crowds_no_list(spark, bucket):
+    """A passage that all texts share, near copies among them, and a family too far apart to be linked as a whole."""
+    r, passage = random.Random(21), draw(21, 60)
+    texts = []
+    for k in range(90):
+        own = draw(100 + k, r.randint(60, 200))
+        texts.append(" ".join(own[:30] + passage + own[30:]))
+        if k % 9 == 0:
+            texts.append(" ".join(own[:30] + passage + own[30:-3]))
+    base = draw(22, 150)
+    for _ in range(100):
+        copy = list(base)
+        for _ in range(r.randint(1, 9)):
+            copy[r.randrange(150)] = f"x{r.randrange(999)}"
+        texts.append(" ".join(copy))
+    want = brute_kept(texts)
+    assert 90 < len(want) < 190
+    assert kept(spark, texts, bucket=bucket) == want
+
+
+def test_key_filter(spark):
+    keys = [3, -5, 1 << 62, -(1 << 63), 70_000]
+    found = KeyFilter.of(spark.createDataFrame([(k,) for k in keys], "key long"), len(keys))
+    assert found.has(np.array(keys, dtype=np.int64)).all() and not found.has(np.array([4, 5, 6], dtype=np.int64)).any()
+
+
+def test_blocks_compare_each_pair_once_in_the_first_shared_list():
+    r = np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 40, size=30).astype(np.uint64)) for _ in range(30)]
+    assert (overlaps(sets[:10], sets[10:]) == [[len(set(a) & set(b)) for b in sets[10:]] for a in sets[:10]]).all()
+    row = lambda k, label, keys: {"n": k, "label": label, "main": 0, "keys": keys, "shingles": sets[k].tobytes()}
+    xs = [row(k, k, [1, 2] if k % 2 else [2]) for k in range(10)]
+    ys = [row(k, 0, [1, 2] if k % 3 else [2]) for k in range(10, 30)]
+    links = block_links(1, [x for x in xs if 1 in x["keys"]], [y for y in ys if 1 in y["keys"]], 0.5), block_links(2, xs, ys, 0.5)
+    near = {(a, b) for a in range(10) for b in range(10, 30) if len(set(sets[a]) & set(sets[b])) >= 0.5 * len(set(sets[a]) | set(sets[b]))}
+    first = {(a, b) for a, b in near if a % 2 and b % 3}
+    assert set(links[0]) <= first and set(links[1]) <= near - first and {a for a, _ in links[0]} == {a for a, _ in first}
+    assert block_links(1, [], ys, 0.5) == []
