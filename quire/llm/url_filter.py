@@ -6,15 +6,15 @@ key and swept together; a stack holds the rules whose interval contains the curr
 one another, so a key's candidates are exactly the stack.  Of those the longest whose path is a
 prefix of the url's path decides.
 
-Each task sorts and sweeps the urls it reads against the sorted rules: nothing is shuffled, and a
-hot host spreads over the tasks that read it.  The rules travel with the job, so there may be at
+Each task sorts the urls it reads by Spark's own sort, which spills, and sweeps them once against the
+sorted rules: nothing is shuffled, and a hot host spreads over the tasks that read it.  The rules travel with the job, so there may be at
 most ``max_rules`` of them; longer lists are a table that goes by ``judge_by_table``, which joins on
 the hosts above each url's host instead.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,24 +39,36 @@ def canonical(host: str) -> str:
     return ".".join(reversed(host.split("."))) + "." if host else ""
 
 
-def sweep(keys: list[tuple[str, str]], rules: list[tuple[str, str, str, str]]) -> Iterator[tuple[str | None, str | None]]:
-    """(rule, verdict) for each of the sorted (key, path); rules are sorted (key, path, rule, verdict)."""
-    stack: list[list] = []  # [key, [(path, rule, verdict), ...]]
-    at = 0
-    for key, path in keys:
-        while stack and not key.startswith(stack[-1][0]):
-            stack.pop()
-        while at < len(rules) and rules[at][0] <= key:
-            own, prefix, rule, verdict = rules[at]
-            at += 1
+class Sweep:
+    """One pass over sorted (key, path) beside sorted rules (key, path, rule, verdict)."""
+
+    def __init__(self, rules: list[tuple[str, str, str, str]]) -> None:
+        self.rules, self.at = rules, 0
+        self.stack: list[tuple[str, list[tuple[str, str, str]]]] = []  # (key, [(path, rule, verdict), ...]), nested
+
+    def _leave(self, key: str) -> None:
+        while self.stack and not key.startswith(self.stack[-1][0]):
+            self.stack.pop()
+
+    def judge(self, key: str, path: str) -> tuple[str | None, str | None]:
+        """(rule, verdict) of a key that isn't below the ones before."""
+        self._leave(key)
+        while self.at < len(self.rules) and self.rules[self.at][0] <= key:
+            own, *rule = self.rules[self.at]
+            self.at += 1
             if key.startswith(own):
-                while stack and not own.startswith(stack[-1][0]):
-                    stack.pop()
-                if not stack or stack[-1][0] != own:
-                    stack.append([own, []])
-                stack[-1][1].append((prefix, rule, verdict))
-        best = max(((len(rule), len(own), rule, verdict) for own, inside in stack for prefix, rule, verdict in inside if path.startswith(prefix)), default=None)
-        yield best[2:] if best else (None, None)
+                self._leave(own)
+                if not self.stack or self.stack[-1][0] != own:
+                    self.stack.append((own, []))
+                self.stack[-1][1].append(tuple(rule))
+        best = max(((len(rule), len(own), rule, verdict) for own, inside in self.stack for prefix, rule, verdict in inside if path.startswith(prefix)), default=None)
+        return best[2:] if best else (None, None)
+
+
+def sweep(keys: Iterable[tuple[str, str]], rules: list[tuple[str, str, str, str]]) -> Iterator[tuple[str | None, str | None]]:
+    """(rule, verdict) for each of the sorted (key, path); rules are sorted (key, path, rule, verdict)."""
+    state = Sweep(rules)
+    return (state.judge(key, path) for key, path in keys)
 
 
 def judge_urls(
@@ -80,39 +92,36 @@ def judge_urls(
         raise ValueError("too many rules to send with the job: use judge_by_table")
     ordered = sorted({(canonical(h.translate(FOLD)), p, h.translate(FOLD) + p, v) for v, h, p in rules})
 
-    def rows(batches: Iterator[dict]) -> Iterator[dict]:
+    def split(batches: Iterator[dict]) -> Iterator[dict]:
+        for batch in batches:
+            parts = [split_url(u) for u in batch["url"]]
+            yield {"id": batch["id"], "host": [h for h, _ in parts], "path": [p for _, p in parts], "key": [canonical(h) for h, _ in parts]}
+
+    def judged(batches: Iterator[dict]) -> Iterator[dict]:
+        state = Sweep(ordered)
         for batch in batches:
-            split = [split_url(u) for u in batch["url"]]
-            keys = [canonical(h) for h, _ in split]
-            order = sorted(range(len(keys)), key=lambda k: (keys[k], split[k][1]))
-            judged: list = [None] * len(keys)
-            for k, found in zip(order, sweep([(keys[k], split[k][1]) for k in order], ordered), strict=True):
-                judged[k] = found
-            yield {
-                "id": batch["id"],
-                "host": [h for h, _ in split],
-                "path": [p for _, p in split],
-                "rule": [r for r, _ in judged],
-                "verdict": [v or default for _, v in judged],
-            }
+            found = [state.judge(*at) for at in zip(batch["key"], batch["path"], strict=True)]
+            yield {c: batch[c] for c in ("id", "host", "path")} | {"rule": [r for r, _ in found], "verdict": [v or default for _, v in found]}
 
     read = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"))
-    return arrow_map(read, rows, "id long, host string, path string, rule string, verdict string")
+    keyed = arrow_map(read, split, "id long, host string, path string, key string")
+    return arrow_map(keyed.sortWithinPartitions("key", "path"), judged, "id long, host string, path string, rule string, verdict string")
 
 
 def judge_by_table(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
-    """``judge_urls`` for a rule table (verdict, host, path) of any size; ids must be unique.
+    """``judge_urls`` for a rule table (verdict, host, path) of any size.
 
-    Each url asks for its host and the hosts above it: an equi-join, whose matches the longest wins.
+    Each distinct host and path asks for its host and the hosts above it: an equi-join, whose matches
+    the longest wins.  Null and repeated ids are ordinary.
     """
     after = F.when(F.instr(url_col, "://") > 0, F.expr(f"substring(`{url_col}`, instr(`{url_col}`, '://') + 3)")).otherwise("")
     host = F.translate(F.regexp_extract(after, r"(?s)\A[^/?#]*", 0), UPPER, LOWER)
     path = F.regexp_extract(after, r"(?s)\A[^/?#]*(/[^?#]*)", 1)
     urls = pages.select(F.col(id_col).cast("long").alias("id"), F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
     labels = F.split("host", r"\.", -1)
-    above = urls.where("host <> ''").select("id", "path", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))).alias("asked"))
+    above = urls.where("host <> ''").select("host", "path").distinct().select("host", "path", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))).alias("asked"))
     rule = rules.select(F.translate("host", UPPER, LOWER).alias("r_host"), F.col("path").alias("r_path"), F.col("verdict").alias("r_verdict"))
     fits = above.join(rule, F.col("asked") == F.col("r_host")).where(F.expr("startswith(path, r_path)"))
     full = F.concat("r_host", "r_path")
-    best = fits.groupBy("id").agg(F.max(F.struct(F.char_length(full).alias("a"), F.char_length("r_host").alias("b"), full.alias("rule"), F.col("r_verdict").alias("verdict"))).alias("best"))
-    return urls.join(best, "id", "left").select("id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    best = fits.groupBy("host", "path").agg(F.max(F.struct(F.char_length(full).alias("a"), F.char_length("r_host").alias("b"), full.alias("rule"), F.col("r_verdict").alias("verdict"))).alias("best"))
+    return urls.join(best, ["host", "path"], "left").select("id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))

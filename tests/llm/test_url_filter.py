@@ -43,6 +43,17 @@ def test_matches_brute_force(spark, seed):
     assert Counter(map(tuple, judge_by_table(pages, spark.createDataFrame(rules, "verdict string, host string, path string")).collect())) == want
 
 
+def test_a_partition_is_swept_as_a_whole(spark):
+    """More urls than an Arrow batch holds, in one partition, nested rules; null and repeated ids."""
+    _, rules = many(4)
+    urls = [(None if i % 7 == 0 else i % 50, f"https://{'a.' * (i % 4)}b.com/{'a/' * (i % 3)}") for i in range(2000)]
+    rules += [("block", "com", "/"), ("allow", "b.com", "/a/"), ("block", "a.b.com", "/a/a/"), ("allow", "a.a.b.com", "/")]
+    pages = spark.createDataFrame(urls, "page_id long, url string").coalesce(1)
+    want = brute(urls, rules)
+    assert Counter(map(tuple, judge_urls(pages, rules).collect())) == want
+    assert Counter(map(tuple, judge_by_table(pages, spark.createDataFrame(rules, "verdict string, host string, path string")).collect())) == want
+
+
 def test_rule_count_is_bounded_and_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     assert judge_urls(pages, URL_RULES).count() == 0
