@@ -95,36 +95,37 @@ def _with_successors(docs: DataFrame, ranges: int) -> DataFrame:
 
 
 def compare_with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", gram: int = 16, window: int = 32) -> DataFrame:
-    """One row (id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
+    """One row (id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, positions).
 
     The edited text has its last third (floor of the code points) replaced by as many first code
     points of the next document, or all it has.  Next is the order of descending ids, null ids last,
     equal ids by text; after the last comes the first.  Fingerprints are the marks' hashes in order,
-    eight hex digits each; likeness is the marks' Jaccard similarity.  Null texts count as empty
+    eight hex digits each, ``positions`` their byte offsets in the text in the same order; likeness is
+    the marks' Jaccard similarity.  Null texts count as empty
     (and an empty text's fingerprint is empty); repeated rows follow one another; a single row is
     its own next; other columns are not read; an empty table gives no rows.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    names = ("id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    names = ("id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "positions")
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
-        seen = None  # (part, id, text, marks) of the row that waits for its next
+        seen = None  # (part, id, text, marks, positions) of the row that waits for its next
         for batch in batches:
             out = {k: [] for k in names}
             for part, late, i, text in zip(batch["part"], batch["late"], batch["id"], batch["text"], strict=True):
                 if late and (seen is None or seen[0] != part):
                     continue  # a further copy of the same first id
-                marks = winnow(text.encode(), gram, window)[1]
+                where, marks = winnow(text.encode(), gram, window)
                 if seen is not None:
-                    _, own, old, mine = seen
+                    _, own, old, mine, at = seen
                     k = len(old) // 3
                     edited = (old[: len(old) - k] + text[:k]).encode()
                     changed = winnow(edited, gram, window)[1]
-                    values = (own, len(old), hashlib.sha256(edited).hexdigest(), mine.astype(">u4").tobytes().hex(), changed.astype(">u4").tobytes().hex(), likeness(mine, changed), likeness(mine, marks))
+                    values = (own, len(old), hashlib.sha256(edited).hexdigest(), mine.astype(">u4").tobytes().hex(), changed.astype(">u4").tobytes().hex(), likeness(mine, changed), likeness(mine, marks), at)
                     for key, value in zip(names, values, strict=True):
                         out[key].append(value)
-                seen = None if late else (part, i, text, marks)
+                seen = None if late else (part, i, text, marks, where)
             yield out
 
-    schema = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    schema = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, positions array<long>"
     return arrow_map(_with_successors(base, 2 * shuffle_width(docs.sparkSession)), rows, schema)
