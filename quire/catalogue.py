@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quire.engine import delete_path, scratch_path, table
 from quire.functions import hashing
@@ -20,6 +21,8 @@ from quire.plans import views
 QUERIES: dict = {}
 #: Packing parameters of the registered queries.
 TARGET, MOST, OVERLAP = 200, 300, 40
+#: Share of a book's pages that an edge line recurs on; documents of one source repeat fewer than pages of a book do.
+MARGIN_SHARE = 0.004
 
 
 def query(f):  # noqa: ANN001, ANN201
@@ -181,7 +184,7 @@ def page_gap_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ck.describe(ck.pack_chunks(views.blocks(spark, sf_dir, MOST), TARGET, MOST, OVERLAP), MOST)
+    return ck.describe(ck.pack_chunks(views.blocks(spark, sf_dir), TARGET, MOST, OVERLAP), MOST)
 
 
 @query
@@ -271,15 +274,19 @@ def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def token_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    pairs = docs.select("doc_id", "text", (F.col("doc_id") % 40).alias("item_id")).join(items.select("item_id", F.col("text").alias("item")), "item_id")
+    ranked = items.select("item_id", (F.row_number().over(Window.orderBy("item_id")) - 1).alias("place"))  # a benchmark's items are few
+    many = items.count()
+    asked = docs.select("doc_id", "text", (F.col("doc_id") % many).alias("place")).join(F.broadcast(ranked), "place") if many else docs.select("doc_id", "text", F.lit(None).cast("long").alias("item_id"))
+    pairs = asked.join(items.select("item_id", F.col("text").alias("item")), "item_id")
     return fx.token_coverage(pairs, "text", "item", "doc_id").select("doc_id", "total", "matched")
 
 
 @query
 def marginalia(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.pages(spark, sf_dir)
-    lines = rows.select("book", F.substring(F.substring_index("text", " ", 1), 1, 12).alias("text"))
-    return fx.repeated_marginalia(lines, rows, share=0.02)
+    split = F.split("text", "\n")
+    edges = rows.select("book", F.explode(F.array_distinct(F.array(F.get(split, F.lit(0)), F.element_at(split, -1)))).alias("text"))
+    return fx.repeated_marginalia(edges, rows, share=MARGIN_SHARE)
 
 
 @query

@@ -8,6 +8,7 @@ of our own is chosen only where that setting is absent (a local test session).
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 
@@ -33,10 +34,12 @@ def session(app: str = "quire", master: str | None = None, **conf: str) -> Spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder, set on the context too so that ``checkpoint()`` works."""
+    """The shared folder, set on the context too so that ``checkpoint()`` works; a cluster must name one."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        if not folder and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="quire-"))
     return folder or context.getCheckpointDir()
 

@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 
 def canonical_json(**fields: Column) -> Column:
-    """Compact JSON with sorted keys; strings keep non-ASCII characters.  Fields must not be null."""
-    return F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]))
+    """Compact JSON with sorted keys; strings keep non-ASCII characters, escapes are in lower case.  Fields must not be null."""
+    json = F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]))
+    lower = json
+    for code in (0x0B, 0x0E, 0x0F, *range(0x1A, 0x20)):  # the control characters whose escape has a letter
+        lower = F.regexp_replace(lower, rf"(?<!\\)((?:\\\\)*)\\u{code:04X}", rf"$1\\u{code:04x}")
+    return F.when(F.regexp(json, F.lit(r"\\u00[01][A-F]")), lower).otherwise(json)
 
 
 def sha256_text(text: Column) -> Column:
@@ -35,7 +39,3 @@ def book_id(slug: Column, source_sha256: Column) -> Column:
 def cache_key(model: str, dimensions: int, task_type: str, input_sha256: Column) -> Column:
     """Key of a cached embedding: the exact input under one model configuration."""
     return sha256_text(canonical_json(model=F.lit(model), dimensions=F.lit(dimensions), task_type=F.lit(task_type), content_sha256=input_sha256))
-
-
-def config_sha256(**settings: Column) -> Column:
-    return sha256_text(canonical_json(**settings))

@@ -85,11 +85,6 @@ def heading_level(text: Column) -> Column:
     return F.when(heading(text).isNotNull(), F.length(F.regexp_extract(line, r"\A(#{1,6})", 1)))
 
 
-def paragraphs(text: Column) -> Column:
-    """Blocks between blank lines, trimmed, without empty ones."""
-    return F.filter(F.transform(F.split(text, r"(?:\r?\n){2,}"), strip), lambda p: p != "")
-
-
 def edge_key(text: Column) -> Column:
     """What a header or footer line is compared by: no number at its ends, one case, single spaces.
 

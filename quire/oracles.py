@@ -55,9 +55,30 @@ PACK = f"""{P},
 lines AS (
   SELECT book, page, status, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS seq
   FROM p WHERE status <> 'failed'),
+sentences AS (
+  SELECT book, page, seq, s, generate_subscripts(ss, 1) AS sn, unnest(ss) AS sentence
+  FROM (SELECT *, string_split(regexp_replace(text, '([.!?\\x{{5c3}}。！？])[{WS}]+', '\\1' || chr(1), 'g'), chr(1)) AS ss, 0 AS s FROM lines WHERE {tokens("text")} > 300)),
+sized AS (SELECT *, {tokens("sentence")} AS st FROM sentences),
+runs AS (SELECT *, sum((st > 300)::INTEGER) OVER w + sum((st > 300)::INTEGER) OVER v AS run FROM sized
+  WINDOW w AS (PARTITION BY book, page, seq ORDER BY sn), v AS (PARTITION BY book, page, seq ORDER BY sn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+units AS (
+  SELECT book, page, seq, coalesce(run, 0) AS run, sn, 0 AS wn, sentence AS unit, st AS ut FROM runs WHERE st <= 300
+  UNION ALL
+  SELECT book, page, seq, coalesce(run, 1), sn, wn, unit, {tokens("unit")} FROM (
+    SELECT *, generate_subscripts(ws, 1) AS wn, unnest(ws) AS unit FROM (SELECT *, list_filter(regexp_split_to_array(sentence, '[{WS}]+'), lambda x: x <> '') AS ws FROM runs WHERE st > 300))),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY book, page, seq, run ORDER BY sn, wn) AS k FROM units),
+greedy AS (
+  SELECT book, page, seq, run, k, 1 AS piece, ut AS total FROM numbered WHERE k = 1
+  UNION ALL
+  SELECT u.book, u.page, u.seq, u.run, u.k, CASE WHEN total + ut > 300 THEN piece + 1 ELSE piece END, CASE WHEN total + ut > 300 THEN ut ELSE total + ut END
+  FROM greedy g JOIN numbered u ON u.book = g.book AND u.page = g.page AND u.seq = g.seq AND u.run = g.run AND u.k = g.k + 1),
+parts AS (
+  SELECT book, page, seq, 0 AS run, 0 AS piece, text FROM lines WHERE {tokens("text")} <= 300
+  UNION ALL
+  SELECT book, page, seq, run, piece, string_agg(unit, ' ' ORDER BY k) FROM greedy JOIN numbered USING (book, page, seq, run, k) GROUP BY ALL),
 blocks AS (
-  SELECT book, page, status, text, {tokens("text")} AS t, row_number() OVER (PARTITION BY book ORDER BY page, seq) AS n
-  FROM lines WHERE {strip("text")} <> '' AND {tokens("text")} <= 300),
+  SELECT book, page, parts.text, {tokens("parts.text")} AS t, row_number() OVER (PARTITION BY book ORDER BY page, seq, run, piece) AS n, status
+  FROM parts JOIN p USING (book, page) WHERE {strip("parts.text")} <> ''),
 fold AS (
   SELECT book, n, page, 1 AS chunk, [t] AS cur FROM blocks WHERE n = 1
   UNION ALL
@@ -219,16 +240,16 @@ sc AS (SELECT query, doc_id, -(CASE WHEN idf > 0 THEN idf ELSE 1e-6 END) * f * 2
 rk AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score, doc_id) AS rank FROM sc)
 SELECT query, doc_id, rank FROM rk WHERE rank <= 10""",
     "token_coverage": f"""
-WITH pairs AS (SELECT doc_id, d.text, b.text AS item FROM documents d JOIN benchmark b ON b.item_id = doc_id % 40),
+WITH pairs AS (SELECT doc_id, d.text, b.text AS item FROM documents d JOIN benchmark b ON b.item_id = (SELECT list(item_id ORDER BY item_id) FROM benchmark)[doc_id % (SELECT count(*) FROM benchmark) + 1]),
 want AS (SELECT doc_id, token, count(*) AS w FROM (SELECT doc_id, unnest({WORDS("text")}) AS token FROM pairs) GROUP BY ALL),
 have AS (SELECT doc_id, token, count(*) AS h FROM (SELECT doc_id, unnest({WORDS("item")}) AS token FROM pairs) GROUP BY ALL),
 m AS (SELECT doc_id, sum(w)::BIGINT AS total, sum(least(w, coalesce(h, 0)))::BIGINT AS matched FROM want LEFT JOIN have USING (doc_id, token) GROUP BY doc_id)
 SELECT pairs.doc_id, coalesce(total, 0) AS total, coalesce(matched, 0) AS matched FROM pairs LEFT JOIN m USING (doc_id)""",
     "marginalia": f"""
 WITH {P}, k AS (
-  SELECT book, trim(regexp_replace(regexp_replace(lower(trim(regexp_replace(substr(string_split(text, ' ')[1], 1, 12), '[{WS}]+', ' ', 'g'))), '^[^{WORD}]*\\p{{Nd}}+[^{WORD}]*', ''), '[^{WORD}]*\\p{{Nd}}+[^{WORD}]*$', '')) AS key FROM p),
+  SELECT book, trim(regexp_replace(regexp_replace(lower(trim(regexp_replace(edge, '[{WS}]+', ' ', 'g'))), '^[^{WORD}]*\\p{{Nd}}+[^{WORD}]*', ''), '[^{WORD}]*\\p{{Nd}}+[^{WORD}]*$', '')) AS key FROM (SELECT book, unnest(list_distinct([string_split(text, chr(10))[1], string_split(text, chr(10))[-1]])) AS edge FROM p)),
 n AS (SELECT book, count(*) AS pages FROM p GROUP BY book)
-SELECT book, key, count(*) AS n FROM k JOIN n USING (book) WHERE key <> '' GROUP BY book, key, pages HAVING count(*) >= greatest(3, ceil(pages * 0.02))""",
+SELECT book, key, count(*) AS n FROM k JOIN n USING (book) WHERE key <> '' GROUP BY book, key, pages HAVING count(*) >= greatest(3, ceil(pages * 0.004))""",
     "font_mode": f"""
 WITH {P}, l AS (SELECT book, page, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS b FROM p),
 s AS (SELECT book, page, b, round(CASE WHEN b = 0 THEN 14.0 + page % 3 WHEN b % 5 = 4 THEN 9.04 ELSE 10.0 END, 1)::DOUBLE AS size, {strip("text")} AS text FROM l),
@@ -269,5 +290,13 @@ SELECT event_id, event_id % 5 IN (0, 1) OR event_id % 7 = 0 AS retryable, event_
 SELECT doc_id, n_chars & 4 <> 0 AS print, n_chars & 8 <> 0 AS modify, n_chars & 16 <> 0 AS copy, n_chars & 32 <> 0 AS annotate, n_chars & 256 <> 0 AS form,
        n_chars & 512 <> 0 AS accessibility, n_chars & 1024 <> 0 AS assemble, n_chars & 2048 <> 0 AS print_high_quality FROM documents""",
     "metadata_clean": "SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN 'v' || doc_id END AS value FROM documents",
+    "fts_terms": """
+WITH t AS (SELECT item_id, list_distinct(list_filter(regexp_split_to_array(replace(lower(text), 'ß', 'ss'), '[^\\p{L}\\p{N}]+'), lambda t: t <> '' AND NOT regexp_full_match(t, '[0-9]') AND t NOT IN
+    ('a','an','and','are','as','at','be','body','book','by','citation','file','for','from','in','is','of','on','or','page','path','pdf','source','that','the','this','title','to','was','were','with'))) AS terms, text FROM benchmark),
+o AS (SELECT item_id, list_sort(list_transform(terms, lambda t: {'at': list_position(regexp_split_to_array(replace(lower(text), 'ß', 'ss'), '[^\\p{L}\\p{N}]+'), t), 't': t}))[1:8] AS found FROM t)
+SELECT item_id, CASE WHEN len(found) > 0 THEN array_to_string(list_transform(found, lambda f: '"' || f.t || '"'), ' OR ') END AS match_query FROM o""",
+    "inbox_stream": """
+WITH d AS (SELECT source, sha256(text) AS v FROM documents), f AS (SELECT source, string_agg(v, chr(10) ORDER BY v) || chr(10) AS content FROM d GROUP BY source)
+SELECT source, strlen(content) AS length, sha256(content) AS source_sha256 FROM f""",
     "fake_vectors": "SELECT doc_id, 64 AS dim, true AS unit FROM documents",
 }

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quire.engine import table
 from quire.functions import hashing
@@ -32,10 +31,10 @@ def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pg.route(view, F.col("enabled"))
 
 
-def blocks(spark: SparkSession, sf_dir: str, most: int) -> DataFrame:
-    """The lines of chunkable pages as prose blocks of at most ``most`` tokens."""
+def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of chunkable pages as prose blocks; the packer splits long ones."""
     lines = pages(spark, sf_dir).where(F.col("status") != "failed").select("book", "page", "status", F.posexplode(F.split("text", "\n")).alias("seq", "text"))
-    kept = lines.where((tx.strip(F.col("text")) != "") & (tx.tokens(F.col("text")) <= most))
+    kept = lines.where(tx.strip(F.col("text")) != "")
     return kept.withColumn("section", F.lit("")).withColumn("structural_block_type", F.lit(None).cast("string"))
 
 
@@ -56,10 +55,6 @@ def outline(pages_: DataFrame, every: int = 5) -> DataFrame:
     return rows
 
 
-def running(partition: str, order: str) -> Window:
-    return Window.partitionBy(partition).orderBy(order)
-
-
 def faulty_corpus(spark: SparkSession, sf_dir: str) -> preflight.Corpus:
     """A corpus of one chunk a page with faults of every rule injected by book number and document id."""
     p = pages(spark, sf_dir).select(F.col("book").alias("book_id"), "page", "doc_id", "text", F.regexp_extract("book", r"\d+", 0).cast("int").alias("number"))

@@ -51,6 +51,29 @@ def test_search_terms():
     assert plain.match_query("?!") is None and plain.match_query("3×4 lifts") == '"3x4" OR "lifts"' and plain.search_terms("x y", 0) == []
 
 
+def test_search_terms_from_left_to_right():
+    cases = {"rpe 8 x 10": ["rpe", "8x10"], "3 x 4 x 5": ["3x4", "x"], "rpe8 x 10": ["rpe8", "x", "10"], "a3 x 4": ["a3", "x"], "_3 x 4": ["x"], "rpe:10, RPE - 10": ["rpe10"]}
+    for raw, want in cases.items():
+        assert plain.search_terms(raw) == want, raw
+
+
+def test_join_lines():
+    assert plain.join_lines(["exam-", "ple  of", "", " Mid- ", "Word"]) == "example of Mid- Word"
+    assert plain.join_lines(["3-", "fold", "слово-", "форма"]) == "3fold словоформа" and plain.join_lines(["exam-", "ple"], rtl=True) == "exam- ple" and plain.join_lines([]) == ""
+
+
+def test_canonical_json_of_control_characters(spark):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from quire.functions import hashing
+
+    text = "a\x0b\\u000B b\x1f\\\x0e end é \x1b\x01"
+    got = spark.createDataFrame([(text,)], "t string").select(hashing.canonical_json(body=F.col("t"))).head()[0]
+    assert got == json.dumps({"body": text}, ensure_ascii=False, separators=(",", ":"))
+
+
 def test_segments_keep_structures_whole():
     html, fence, pipe = "<table>\n<tr><td>1</td></tr>\n\n<tr></tr></table>", "```py\nx\n\ny\n```", "a | b\n--|--\n1 | 2"
     pipe = "| a | b |\n|---|:---:|\n| 1 | 2 |"
