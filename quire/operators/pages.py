@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quire.engine import cut, shuffle_width
 from quire.functions import text as tx
 
 #: Gates that keep a page from the native route, in order (fixed values).
@@ -18,9 +19,20 @@ CHUNKABLE = ["complete", "native_text_fallback"]
 
 
 def number_pages(docs: DataFrame, book: str, order: str) -> DataFrame:
-    """Add ``book`` and a gapless 1-based ``page`` in the order of ``order``."""
-    window = Window.partitionBy(F.col(book)).orderBy(order)
-    return docs.withColumn("page", F.row_number().over(window)).withColumn("book", F.col(book))
+    """Add ``book`` and a gapless 1-based ``page`` in the order of ``order``, which is unique and not null.
+
+    Keys alone are range-partitioned by book and order, so a large book spreads over tasks; a page is
+    its row's place in the partition plus what the book has in the partitions before.  The other
+    columns meet their page by ``order``.
+    """
+    keys = docs.select(F.col(book).alias("_book"), F.col(order).alias("_order"))
+    ranged = keys.repartitionByRange(shuffle_width(docs.sparkSession), "_book", "_order").sortWithinPartitions("_book", "_order")
+    placed = cut(ranged.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    counts = placed.groupBy(F.col("_book").alias("_own"), F.col("_part").alias("_in")).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy("_own").orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1)
+    numbered = placed.join(bases, F.col("_book").eqNullSafe(F.col("_own")) & (F.col("_part") == F.col("_in"))).select("_order", (F.col("_at") + F.col("_base")).cast("int").alias("page"))
+    return docs.join(numbered, F.col(order) == F.col("_order")).drop("_order").withColumn("book", F.col(book))
 
 
 #: Python's white space apart from line feed and carriage return (fixed value).

@@ -1,4 +1,6 @@
-"""Preflight: every integrity rule is a SELECT of (book_id, rule, detail); their union is the report.
+"""Preflight: each table is read once for all rules that look at one record; a few rules are joins.
+
+The report has rows (book_id, rule, detail).
 
 Rules marked as stopping hide a book's later rules, and row-level gates hide later rules of the same
 page or chunk, as a reader who stops at the first unusable record would see it.
@@ -12,9 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quire.engine import cut
 from quire.functions import hashing
+from quire.functions import text as tx
 from quire.operators import books as bk
-from quire.operators.retrieval import embedding_inputs
+from quire.operators.retrieval import embedding_text
 
 PAGE_SCHEMA, CHUNK_SCHEMA, TOKEN_LIMIT = 3, 5, 8192
 #: Fields that every page and chunk record must have (fixed values).
@@ -47,85 +51,85 @@ def _missing(json: str, fields: list[str]) -> Column:
     return F.array_except(F.array(*map(F.lit, fields)), F.coalesce(F.json_object_keys(json), F.array().cast("array<string>")))
 
 
-def _rule(df: DataFrame, name: str, test: Column, detail: Column | None = None) -> DataFrame:
-    text = F.lit("") if detail is None else detail.cast("string")
-    return df.where(F.coalesce(test, F.lit(False))).select("book_id", F.lit(name).alias("rule"), text.alias("detail"))
+Rule = tuple[str, Column, Column | None]
+
+
+def _rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Violations of one table, all rules in one pass: a rule is (name, test, detail)."""
+    broken = [F.when(test, F.struct(F.lit(name).alias("rule"), (F.lit("") if detail is None else detail.cast("string")).alias("detail"))) for name, test, detail in rules]
+    return df.select("book_id", F.explode_outer(F.array_compact(F.array(*broken))).alias("v")).where("v IS NOT NULL").select("book_id", "v.*")
 
 
-def _absent(df: DataFrame, path: Column, files: DataFrame, name: str) -> DataFrame:
-    wanted = df.select("book_id", path.alias("path")).where("path IS NOT NULL")
+def _absent(df: DataFrame, paths: Column, files: DataFrame, name: str) -> DataFrame:
+    wanted = df.select("book_id", F.explode_outer(paths).alias("path")).where("path IS NOT NULL")
     return wanted.join(files, ["book_id", "path"], "left_anti").select("book_id", F.lit(name).alias("rule"), F.col("path").alias("detail"))
 
 
 def book_rules(c: Corpus, include_unspecified: bool) -> list[DataFrame]:
-    b = c.books
-    count = c.pages.groupBy("book_id").agg(F.count(F.lit(1)).alias("records"))
-    chunks = c.chunks.groupBy("book_id").agg(F.count(F.lit(1)).alias("records"))
-    counted = b.join(count, "book_id", "left")
-    return [
-        _rule(b, "V1", F.col("status").isNull()),
-        _rule(b, "V2", ~F.col("status").isin("complete", "partial"), F.col("status")),
-        _rule(b, "V3", ~F.col("bibliography").eqNullSafe(F.col("resolved_bibliography"))),
-        _rule(b, "V4", ~bk.packable(F.col("license_status"), include_unspecified), F.col("license_status")),
-        _rule(b, "V5", F.size("failed_pages") > 0, F.array_join("failed_pages", ",")),
-        _rule(b, "V6", F.size("fallback_pages") > 0, F.array_join("fallback_pages", ",")),
-        _rule(b.join(chunks, "book_id", "left"), "V7", F.col("records").isNull()),
-        _rule(counted, "V8", ~F.col("records").eqNullSafe(F.col("page_count").cast("long")), F.col("records")),
+    pages = c.pages.groupBy("book_id").agg(F.count(F.lit(1)).alias("page_records"), F.sort_array(F.collect_list(F.when(F.col("status") == "failed", F.col("page")))).alias("failed_records"))
+    chunks = c.chunks.groupBy("book_id").agg(F.count(F.lit(1)).alias("chunk_records"))
+    failed = F.coalesce("failed_records", F.array().cast("array<int>"))
+    rules: list[Rule] = [
+        ("V1", F.col("status").isNull(), None),
+        ("V2", ~F.col("status").isin("complete", "partial"), F.col("status")),
+        ("V3", ~F.col("bibliography").eqNullSafe(F.col("resolved_bibliography")), None),
+        ("V4", ~bk.packable(F.col("license_status"), include_unspecified), F.col("license_status")),
+        ("V5", F.size("failed_pages") > 0, F.array_join("failed_pages", ",")),
+        ("V6", F.size("fallback_pages") > 0, F.array_join("fallback_pages", ",")),
+        ("V7", F.col("chunk_records").isNull(), None),
+        ("V8", ~F.col("page_records").eqNullSafe(F.col("page_count").cast("long")), F.col("page_records")),
+        ("V16", F.size(failed) > 0, F.array_join(failed, ",")),
     ]
+    return [_rules(c.books.join(pages, "book_id", "left").join(chunks, "book_id", "left"), rules)]
 
 
 def page_rules(c: Corpus) -> list[DataFrame]:
-    p = c.pages.withColumn("missing", _missing("json", PAGE_FIELDS))
-    fine = p.where((F.col("schema_version") == PAGE_SCHEMA) & (F.size("missing") == 0))
+    p = c.pages.withColumn("missing", _missing("json", PAGE_FIELDS)).withColumn("known", F.col("schema_version").eqNullSafe(F.lit(PAGE_SCHEMA)))
+    p = p.withColumn("fine", F.col("known") & (F.size("missing") == 0))
     is_object = lambda f: F.coalesce(F.get_json_object("json", f"$.{f}").startswith("{"), F.lit(False))
-    native = F.col("conversion_route") == "native_structured"
-    failed = p.where("status = 'failed'").groupBy("book_id").agg(F.array_join(F.sort_array(F.collect_list("page")), ",").alias("pages"))
-    every = c.books.where("page_count > 0").select("book_id", F.explode(F.sequence(F.lit(1), "page_count")).alias("page"))
-    return [
-        _rule(p, "V9", ~F.col("schema_version").eqNullSafe(F.lit(PAGE_SCHEMA)), F.col("page")),
-        _rule(p.where(F.col("schema_version") == PAGE_SCHEMA), "V10", F.size("missing") > 0, F.array_join("missing", ",")),
-        _absent(fine, F.col("native_ir_path"), c.files, "V11"),
-        _absent(fine, F.col("native_diagnostics_path"), c.files, "V11"),
-        _rule(fine, "V12", ~F.coalesce(F.col("native_processor_config_sha256").rlike(r"\A[0-9a-f]{64}\z"), F.lit(False)), F.col("page")),
-        _rule(fine, "V13", ~is_object("native_text_quality") | ~is_object("page_complexity"), F.col("page")),
-        _rule(fine, "V14", ~F.coalesce(F.col("conversion_route").isin(ROUTES), F.lit(False)), F.col("conversion_route")),
-        _rule(fine, "V15", native & (F.col("llm_called") | F.col("needs_visual_parser") | ~F.col("parser_backend").eqNullSafe(F.lit("native"))), F.col("page")),
-        _rule(failed, "V16", F.lit(True), F.col("pages")),
-        _absent(every, F.format_string("pages/page-%04d.md", "page"), c.files, "V17"),
+    fine, native = F.col("fine"), F.col("conversion_route") == "native_structured"
+    rules: list[Rule] = [
+        ("V9", ~F.col("known"), F.col("page")),
+        ("V10", F.col("known") & (F.size("missing") > 0), F.array_join("missing", ",")),
+        ("V12", fine & ~F.coalesce(F.col("native_processor_config_sha256").rlike(r"\A[0-9a-f]{64}\z"), F.lit(False)), F.col("page")),
+        ("V13", fine & (~is_object("native_text_quality") | ~is_object("page_complexity")), F.col("page")),
+        ("V14", fine & ~F.coalesce(F.col("conversion_route").isin(ROUTES), F.lit(False)), F.col("conversion_route")),
+        ("V15", fine & native & (F.col("llm_called") | F.col("needs_visual_parser") | ~F.col("parser_backend").eqNullSafe(F.lit("native"))), F.col("page")),
     ]
+    every = c.books.where("page_count > 0").select("book_id", F.transform(F.sequence(F.lit(1), "page_count"), lambda k: F.format_string("pages/page-%04d.md", k)).alias("paths"))
+    return [_rules(p, rules), _absent(p.where("fine"), F.array("native_ir_path", "native_diagnostics_path"), c.files, "V11"), _absent(every, F.col("paths"), c.files, "V17")]
 
 
 def chunk_rules(c: Corpus) -> list[DataFrame]:
-    k = c.chunks.withColumn("missing", _missing("json", CHUNK_FIELDS))
-    whole = k.where(F.size("missing") == 0)
-    order = Window.partitionBy("chunk_id").orderBy("book_id", "position")
-    numbered = whole.withColumn("nth", F.row_number().over(order))
-    manifest = c.books.select("book_id", F.col("bibliography").alias("m_bibliography"), F.col("license_status").alias("m_license"))
-    joined = numbered.join(manifest, "book_id")
+    k = c.chunks.withColumn("missing", _missing("json", CHUNK_FIELDS)).withColumn("whole", F.size("missing") == 0)
+    # Records that lack a field take no part in the order of equal ids, nor in what is read after it.
+    order = Window.partitionBy(F.when(F.col("whole"), F.col("chunk_id")), F.when(~F.col("whole"), F.struct("book_id", "position"))).orderBy("book_id", "position")
+    manifest = c.books.select("book_id", F.col("bibliography").alias("m_bibliography"), F.col("license_status").alias("m_license"), F.lit(True).alias("in_manifest"))
+    read = k.withColumn("nth", F.row_number().over(order)).join(manifest, "book_id", "left")
     own = F.struct(F.col("book_title").alias("title"), "title_source", "authors", "authors_source", "edition", "publication_year", "language")
-    empty = F.regexp_replace("body", r"\s+", "") == ""
-    full = joined.where(~empty)
     sha = hashing.chunk_content_sha256(F.col("book_id"), F.col("page_start"), F.col("page_end"), F.col("section"), F.col("body"))
+    joined = F.col("whole") & F.coalesce("in_manifest", F.lit(False))
+    read = read.withColumns({"joined": joined, "empty": F.regexp_replace("body", r"\s+", "") == ""}).withColumn("full", F.col("joined") & ~F.col("empty"))
+    read = read.withColumn("sha", F.when(F.col("full"), sha))
     kinds = F.coalesce("structural_block_types", F.array().cast("array<string>"))
     kind = F.when(F.size(kinds) == 0, F.lit(None)).when(F.size(kinds) == 1, F.get(kinds, F.lit(0))).otherwise("mixed")
     has_reason = F.coalesce("oversized_reason", F.lit("")) != ""
-    from quire.functions import text as tx
-
-    sizes = full.join(embedding_inputs(full).select("chunk_id", tx.conservative_tokens(F.col("text")).alias("estimate")).dropDuplicates(["chunk_id"]), "chunk_id")
-    return [
-        _rule(k, "V18", ~F.col("schema_version").eqNullSafe(F.lit(CHUNK_SCHEMA)), F.col("chunk_id")),
-        _rule(k, "V18", F.size("missing") > 0, F.array_join("missing", ",")),
-        _rule(numbered, "V19", F.col("nth") > 1, F.col("chunk_id")),
-        _rule(joined, "V20", ~F.col("own_book_id").eqNullSafe(F.col("book_id")), F.col("chunk_id")),
-        _rule(joined, "V21", ~own.eqNullSafe(F.col("m_bibliography")), F.col("chunk_id")),
-        _rule(joined, "V22", empty, F.col("chunk_id")),
-        _rule(full, "V23", ~F.col("content_sha256").eqNullSafe(sha) | ~F.col("chunk_id").eqNullSafe(hashing.chunk_id(F.col("book_id"), sha)), F.col("chunk_id")),
-        _rule(full, "V24", ~F.col("license_status").eqNullSafe(F.col("m_license")), F.col("chunk_id")),
-        _rule(full, "V25", (F.size(F.array_except(kinds, F.array(*map(F.lit, STRUCTURES)))) > 0) | ~F.col("structural_block_type").eqNullSafe(kind), F.col("chunk_id")),
-        _rule(full, "V26", F.col("oversized") != has_reason, F.col("chunk_id")),
-        _rule(sizes, "V27", F.col("estimate") > TOKEN_LIMIT, F.col("chunk_id")),
-        _absent(full, F.concat(F.lit("chunks/"), F.col("path")), c.files, "V28"),
+    embedded = embedding_text(*[F.col(x) for x in ("book_title", "authors", "edition", "publication_year", "language", "section", "body")])
+    joined, full, chunk = F.col("joined"), F.col("full"), F.col("chunk_id")
+    rules: list[Rule] = [
+        ("V18", ~F.col("schema_version").eqNullSafe(F.lit(CHUNK_SCHEMA)), chunk),
+        ("V18", ~F.col("whole"), F.array_join("missing", ",")),
+        ("V19", F.col("whole") & (F.col("nth") > 1), chunk),
+        ("V20", joined & ~F.col("own_book_id").eqNullSafe(F.col("book_id")), chunk),
+        ("V21", joined & ~own.eqNullSafe(F.col("m_bibliography")), chunk),
+        ("V22", joined & F.col("empty"), chunk),
+        ("V23", full & (~F.col("content_sha256").eqNullSafe(F.col("sha")) | ~chunk.eqNullSafe(hashing.chunk_id(F.col("book_id"), F.col("sha")))), chunk),
+        ("V24", full & ~F.col("license_status").eqNullSafe(F.col("m_license")), chunk),
+        ("V25", full & ((F.size(F.array_except(kinds, F.array(*map(F.lit, STRUCTURES)))) > 0) | ~F.col("structural_block_type").eqNullSafe(kind)), chunk),
+        ("V26", full & (F.col("oversized") != has_reason), chunk),
+        ("V27", full & (tx.conservative_tokens(embedded) > TOKEN_LIMIT), chunk),
     ]
+    return [_rules(read, rules), _absent(read.where("full"), F.array(F.concat(F.lit("chunks/"), F.col("path"))), c.files, "V28")]
 
 
 def preflight(c: Corpus, *, requested: DataFrame | None = None, include_unspecified: bool = False) -> DataFrame:
@@ -138,6 +142,7 @@ def preflight(c: Corpus, *, requested: DataFrame | None = None, include_unspecif
     found = None
     for rule in book_rules(c, include_unspecified) + page_rules(c) + chunk_rules(c):
         found = rule if found is None else found.unionByName(rule)
+    found = cut(found)  # violations only, read twice below
     number = F.regexp_extract("rule", r"\d+", 0).cast("int")
     stops = F.create_map(*[F.lit(x) for pair in STOPPING.items() for x in pair])
     first = found.where(F.col("rule").isin(*STOPPING)).groupBy("book_id").agg(F.min(stops[F.col("rule")]).alias("stop"))
