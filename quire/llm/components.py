@@ -3,7 +3,7 @@
 Alternating large-star and small-star rounds (Kiveris et al., "Connected Components in MapReduce and
 Beyond", 2014).  Each round is two aggregations and two joins; hub nodes are met by a size-bounded
 broadcast (``common.split_hot``), so that no task gets all edges of a hub.  Every half round is
-checkpointed, which cuts the lineage and survives lost executors.
+checkpointed, which cuts the lineage and survives lost executors; a round's shuffles are given back.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.engine import cut
+from quire.engine import cut, release
 from quire.llm.common import split_hot
 
 
@@ -45,4 +45,5 @@ def components(edges: DataFrame) -> DataFrame:
     while after[0] and after != before:
         now = _star(_star(now, large=True), large=False)
         before, after = after, mark(now)
+        release(edges.sparkSession)  # a round's shuffles have many small files
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

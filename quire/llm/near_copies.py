@@ -258,6 +258,7 @@ def _reordered(docs: DataFrame, nodes: DataFrame, crowded: DataFrame, bucket: in
     common = KeyFilter.of(keys, keys.count())
     release(docs.sparkSession)
     touched = holders(common)
+    del held, keys
 
     def posted(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
@@ -267,7 +268,9 @@ def _reordered(docs: DataFrame, nodes: DataFrame, crowded: DataFrame, bucket: in
             yield {"n": list(map(text_key, words)), "size": list(map(len, sets)), "prefix": [p.view(np.int64) for p, _ in both], "fresh": [f.view(np.int64) for _, f in both]}
 
     anew = arrow_map(_texts_of(docs, touched), posted, "n long, size int, prefix array<long>, fresh array<long>", at_once=32)
-    return cut(anew.join(touched.select("n"), "n", "left_semi").dropDuplicates(["n"])), common
+    anew = cut(anew.join(touched.select("n"), "n", "left_semi").dropDuplicates(["n"]))
+    release(docs.sparkSession)
+    return anew, common
 
 
 def _fresh_postings(nodes: DataFrame, anew: DataFrame, common: KeyFilter) -> DataFrame:
@@ -443,10 +446,13 @@ def similar_links(docs: DataFrame, nodes: DataFrame, bucket: int, least: float)
     """Edges (a, b) that connect nodes (n, rep, fp, size, prefix) of rows (id, text) as all pairs of similarity ``least`` do."""
     pairs, members = _candidates(docs, nodes, bucket, least)
     pairs = cut(pairs.unionByName(_fingerprint_pairs(nodes)).distinct())
+    release(docs.sparkSession)
     used = pairs.select(F.col("a").alias("n")).unionByName(pairs.select(F.col("b").alias("n"))).unionByName(members.select("n")).distinct()
     sets, path = stored(_shingle_sets(docs, cut(nodes.select("n", "rep").join(used, "n", "left_semi"))), "shingles")
     release(docs.sparkSession)
     edges = _verified(pairs, sets, least)
+    del pairs, used
+    release(docs.sparkSession)
     if not members.isEmpty():
         edges = cut(_crowd_links(members, edges, sets, least))
     delete_path(docs.sparkSession, path)
