@@ -1,5 +1,7 @@
+import random
 from collections import Counter
 
+import pytest
 import xxhash
 
 from quire.llm.components import components
@@ -85,3 +87,24 @@ def test_components_of_a_hub_and_a_path(spark):
 
 def test_empty(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_components_by_rounds_and_in_one_task(spark, few):
+    r = random.Random(5)
+    links = [(r.randrange(-300, 300), r.randrange(-300, 300)) for _ in range(260)] + [(k, k + 1) for k in range(1000, 1060)] + [(7, 7), (1 << 62, -(1 << 62))]
+    root = {}
+
+    def find(i):
+        while root.get(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in links:
+        x, y = sorted((find(a), find(b)))
+        if x != y:
+            root[y] = x
+    want = {(n, find(n)) for a, b in links if a != b for n in (a, b)}
+    found = components(spark.createDataFrame(links, "a long, b long"), few).collect()
+    assert {(n, x) for n, x in found} == want and len(found) == len(want)
+    assert components(spark.createDataFrame([], "a long, b long"), few).count() == 0
