@@ -388,3 +388,161 @@ def inbox_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spark.read.parquet(out).select(F.regexp_extract("path", "source=([^/]+)", 1).alias("source"), "length", "source_sha256")
     delete_path(spark, inbox)
     return found
+
+
+@query
+def day_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    window = quota.day_window(F.col("ts"))
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return table(spark, sf_dir, "events").select("event_id", window.alias("w")).select("event_id", text(F.col("w.start")).alias("starts"), text(F.col("w.end")).alias("ends"))
+
+
+@query
+def retry_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id")
+    nested = F.concat(F.lit('{"error": {"details": [{"@type": "x"}, {"retryDelay": "'), e % 90, F.lit('.5s"}]}}'))
+    snapshot = F.when(e % 4 == 0, nested).when(e % 4 == 1, F.concat(F.lit('{"retry_delay": '), e % 30, F.lit("}"))).when(e % 4 == 2, "no JSON")
+    return table(spark, sf_dir, "events").select("event_id", quota.retry_delay(snapshot).alias("seconds"))
+
+
+def _draw(df: DataFrame) -> DataFrame:
+    """A drawing for each document: thin ones, wide or tall, are rules; some boxes are inside out."""
+    d = F.col("doc_id")
+    wide, tall = F.when(d % 5 == 0, 300).when(d % 5 == 1, 1).when(d % 5 == 2, -4).otherwise(d % 50), F.when(d % 5 == 0, 2).when(d % 5 == 1, 400).otherwise(d % 30)
+    return df.select("book", "page", (d * 37 % 400).cast("double").alias("x0"), (d * 53 % 600).cast("double").alias("y0"), wide.cast("double").alias("w"), tall.cast("double").alias("h")).select(
+        "book", "page", "x0", "y0", (F.col("x0") + F.col("w")).alias("x1"), (F.col("y0") + F.col("h")).alias("y1")
+    )
+
+
+def _drawn_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(documents on ten pages a source, the pages); page 9 has no document."""
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("book"), (F.col("doc_id") % 9).alias("page"), "doc_id")
+    pages = docs.select("book").distinct().select("book", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(9).cast("long"))).alias("page")).select("book", "page", F.lit(600.0).alias("width"), F.lit(800.0).alias("height"))
+    return docs, pages
+
+
+@query
+def vector_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, pages = _drawn_pages(spark, sf_dir)
+    return fx.vector_signals(_draw(docs), pages)
+
+
+@query
+def span_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, pages = _drawn_pages(spark, sf_dir)
+    drawn = _draw(docs.withColumn("doc_id", F.col("doc_id") + 1))
+    bbox = F.when(F.col("x0") % 7 != 0, F.array("x0", "y0", "x1", "y1")).otherwise(F.array("x0", "y0"))
+    return fx.span_density(drawn.select("book", "page", bbox.alias("bbox"), (F.col("y0") % 4).cast("int").alias("alpha")), pages)
+
+
+@query
+def marginalia_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First and last lines of pages, marked where they recur in their book or are a page number alone."""
+    rows = views.pages(spark, sf_dir)
+    split = F.split(F.concat("text", F.when(F.col("page") % 3 == 0, F.concat(F.lit("\n "), "page")).when(F.col("page") % 3 == 1, "\nxiv").otherwise("")), "\n")
+    edges = rows.select("book", "page", F.posexplode(F.array(F.get(split, F.lit(0)), F.element_at(split, -1))).alias("place", "text"))
+    repeated = fx.repeated_marginalia(edges, rows, share=MARGIN_SHARE)
+    return fx.without_marginalia(edges.withColumn("edge", F.col("page") % 4 != 0), repeated).select("book", "page", "place", "ignored", "ignore_reason")
+
+
+@query
+def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's Markdown file: front matter, then the text or a warning."""
+    from quire.sources.sinks import page_markdown
+
+    rows = views.pages(spark, sf_dir)
+    name = F.when(F.col("page") % 5 != 0, F.concat(F.lit('A "quoted" \\ name of '), "book"))
+    fields = rows.select(
+        "book", "page", "status", name.alias("source_file"), F.col("book").alias("book_id"), F.lit(9).alias("page_count"), F.concat(F.lit("p. "), "page").alias("citation"),
+        F.lit("stub").alias("parser_backend"), F.when(F.col("page") % 2 == 0, "native_structured").otherwise("visual_llm").alias("conversion_route"), (F.col("page") % 2 == 1).alias("llm_called"), F.col("text").alias("markdown"),
+    )
+    return page_markdown(fields).select("book", "page", F.sha2("file_markdown", 256).alias("file_sha256"))
+
+
+@query
+def citation_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.sources.sinks import refresh_citations
+
+    rows = views.pages(spark, sf_dir)
+    old, new = (F.concat(F.lit(f"{label}, p. "), "page", F.lit("]")) for label in ("Old", "New title"))
+    texts = rows.select(F.col("book").alias("book_id"), "page", F.concat(F.lit("[Source: "), old, "text", old).alias("markdown"), old.alias("citation"))
+    changed = rows.where(F.col("page") % 3 == 0).select(F.col("book").alias("book_id"), "page", old.alias("old"), new.alias("new"))
+    return refresh_citations(texts, changed).select("book_id", "page", "citation", F.sha2("markdown", 256).alias("markdown_sha256"))
+
+
+@query
+def sidecar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sidecars by either of their two names; the one without ``.pdf`` goes first."""
+    d = F.col("doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("/in/v1."), d, F.lit("/book."), d, F.lit(".pdf")).alias("path"))
+    stem = F.regexp_replace("path", r"\.pdf\z", "")
+    short = docs.where(d % 3 == 0).select(F.concat(stem, F.lit(".license.json")).alias("path"), F.concat(F.lit('\ufeff{"a": '), d, F.lit("}")).alias("content"))
+    long = docs.where(d % 2 == 0).select(F.concat(F.col("path"), F.lit(".license.json")).alias("path"), F.concat(F.lit('{"b": '), d, F.lit("}")).alias("content"))
+    return bk.attach_sidecars(docs, short.unionByName(long)).select("doc_id", "license_json")
+
+
+@query
+def source_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = F.col("doc_id")
+    name = F.concat(F.lit("f"), d, F.lit(".pdf"))
+    books = table(spark, sf_dir, "documents").select("doc_id", name.alias("source_file"), F.when(d % 4 != 0, F.concat(F.lit("/was/"), name)).alias("source_path"))
+    files = [books.where(condition).select(F.concat(F.lit(folder), "source_file").alias("path")) for folder, condition in (("/was/", d % 3 == 0), ("/processed/", d % 2 == 0), ("/failed/", d % 5 != 0))]
+    return bk.locate_sources(books, files[0].unionByName(files[1]).unionByName(files[2]), ["/processed/", "/failed"]).select("doc_id", "located")
+
+
+@query
+def source_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths below the corpus root made relative; some have back slashes or lie elsewhere."""
+    p = F.col("page_id")
+    path = F.when(p % 3 == 0, F.concat(F.lit("C:\\corpus\\in\\"), p)).when(p % 3 == 1, F.concat(F.lit("C:/corpus/"), "host")).otherwise(F.concat(F.lit("C:/corpus2/"), p))
+    return table(spark, sf_dir, "pages").withColumn("host", F.split_part("url", F.lit("/"), F.lit(3))).select("page_id", tx.relative_path(path, "C:/corpus/").alias("path"), F.sha2(tx.without_tags(F.col("html"), "p"), 256).alias("bare_sha256"))
+
+
+@query
+def embedding_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of all documents: a third from the cache (marked by a 9), the others embedded once for each text."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), F.sha2("text", 256).alias("embedding_input_sha256"), "text")
+    key = hashing.cache_key(rt.FakeEmbedder.model, 8, rt.FakeEmbedder.task_type, F.col("embedding_input_sha256"))
+    kept = docs.where("chunk_id % 3 = 0").select(key.alias("cache_key"), F.array_repeat(F.lit(9.0).cast("float"), 8).alias("embedding"))
+    short = docs.where("chunk_id % 3 = 1").select(key.alias("cache_key"), F.array(F.lit(9.0).cast("float")).alias("embedding"))  # of another model
+    vectors, _ = rt.with_cache(docs, kept.unionByName(short), lambda: rt.FakeEmbedder(8))
+    return vectors.select(F.col("chunk_id").cast("long").alias("doc_id"), "cache_key", (F.get("embedding", F.lit(0)) == 9).alias("hit"), F.size("embedding").alias("dim"))
+
+
+@query
+def cache_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cache written and read again: entries whose checksum or length is wrong don't come back."""
+    from quire.engine import cut
+    from quire.sources.files import read_cache
+    from quire.sources.sinks import write_cache
+
+    path = scratch_path(spark, "cache")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))
+    v = F.col("vec_id")
+    write_cache(rows.select(v.cast("string").alias("cache_key"), F.when(v % 4 == 0, F.slice("embedding", 1, 3)).otherwise(F.col("embedding")).alias("embedding")), path)
+    rows.select(F.concat(F.lit("bad-"), v).alias("cache_key"), "embedding", F.sha2(v.cast("string"), 256).alias("embedding_sha256")).write.mode("append").parquet(path)
+    found = cut(read_cache(spark, path, rows.agg(F.max(F.size("embedding"))).head()[0] or 0).select("cache_key", F.size("embedding").alias("dim")))
+    delete_path(spark, path)
+    return found
+
+
+@query
+def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines, some cut off, no objects or blank, read again with the bad ones kept apart."""
+    from quire.engine import cut
+    from quire.sources.files import read_jsonl
+
+    path, e = scratch_path(spark, "lines"), F.col("event_id")
+    line = F.when(e % 10 == 3, F.concat(F.lit('{"event_id": '), e)).when(e % 10 == 5, F.concat(F.lit("["), e, F.lit("]"))).when(e % 10 == 7, "  ").otherwise(F.to_json(F.struct("event_id", "user_id")))
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    found = cut(read_jsonl(spark, path, "event_id long, user_id long").withColumn("event_id", F.when(F.col("corrupt").isNull(), F.col("event_id"))).select("event_id", "user_id", "corrupt"))
+    delete_path(spark, path)
+    return found
+
+
+@query
+def missing_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which words of each benchmark item the document of the same number lacks, thirty at most, in order."""
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    pairs = items.select("item_id", F.col("text").alias("item")).join(docs, F.col("item_id") == F.col("doc_id"))
+    return fx.token_coverage(pairs, "item", "text", "item_id").select("item_id", "total", "matched", "coverage", F.array_join("unmatched", " ").alias("unmatched"))

@@ -101,8 +101,9 @@ def is_rtl(text: Column) -> Column:
 
 
 def json_quoted(text: Column) -> Column:
-    """A JSON string literal, good as a YAML scalar."""
-    return F.regexp_replace(F.to_json(F.struct(text.alias("v"))), r"(?s)\A\{\"v\":(.*)\}\z", "$1")
+    """A JSON string literal, good as a YAML scalar; ``null`` for null."""
+    literal = F.regexp_replace(F.to_json(F.struct(text.alias("v"))), r"(?s)\A\{\"v\":(.*)\}\z", "$1")
+    return F.when(text.isNull(), "null").otherwise(literal)
 
 
 def without_tags(text: Column, tag: str) -> Column:

@@ -19,6 +19,14 @@ def strip(text: str) -> str:
     return f"regexp_replace(regexp_replace({text}, '^[{WS}]+', ''), '[{WS}]+$', '')"
 
 
+
+def drawn(d: str, on: str = "doc_id") -> str:
+    """Documents as drawings or spans on nine pages a source, and all ten pages."""
+    return f"""docs AS (SELECT source AS book, {on} % 9 AS page, {d} AS d FROM documents),
+drawn AS (SELECT book, page, d * 37 % 400 AS x0, d * 53 % 600 AS y0, CASE d % 5 WHEN 0 THEN 300 WHEN 1 THEN 1 WHEN 2 THEN -4 ELSE d % 50 END AS w, CASE d % 5 WHEN 0 THEN 2 WHEN 1 THEN 400 ELSE d % 30 END AS h FROM docs),
+sheets AS (SELECT DISTINCT book, unnest(range(10)) AS page FROM docs)"""
+
+
 P = """p AS (
   SELECT source AS book, row_number() OVER (PARTITION BY source ORDER BY doc_id)::INTEGER AS page, doc_id, lang, text,
          CASE WHEN quality = 0 THEN 'failed' WHEN toxic = 1 THEN 'native_text_fallback' ELSE 'complete' END AS status
@@ -161,6 +169,16 @@ SELECT doc_id, CASE WHEN slug = '' THEN 'book' ELSE slug END || '-' || substr(sh
     "markdown_cleanup": f"""
 SELECT doc_id, sha256(CASE WHEN doc_id % 3 = 2 THEN {strip("'# Title ' || doc_id || chr(10) || text")} WHEN doc_id % 3 = 0 THEN {strip("text")} ELSE {strip("'-' || text")}[2:] END) AS body_sha256,
        CASE WHEN doc_id % 3 = 2 THEN 'Title ' || doc_id END AS heading, CASE WHEN doc_id % 3 = 2 THEN 1 END::BIGINT AS level, false AS rtl FROM documents""",
+    "segments": f"""
+WITH w AS (
+  SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '<[^>]*>', ' ', 'g'), '[{WS}]+', ' ', 'g')) AS title,
+         list_filter(list_transform(regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '[{WS}]+', ' ', 'g'))), lambda x: x <> '') AS ps FROM pages),
+b AS (
+  SELECT page_id, title, list_concat([{{'t': '# ' || title, 'k': NULL}}], list_transform(ps, lambda x: {{'t': x, 'k': NULL}}),
+    CASE WHEN page_id % 5 = 0 THEN [{{'t': '| a | b |' || chr(10) || '| --- | --- |' || chr(10) || '| 1 | 2 |', 'k': 'markdown_table'}}] ELSE [] END,
+    CASE WHEN page_id % 7 = 0 THEN [{{'t': '```text' || chr(10) || 'code' || chr(10) || chr(10) || 'more' || chr(10) || '```', 'k': 'fenced_block'}}] ELSE [] END) AS bs FROM w),
+u AS (SELECT page_id, title, unnest(bs) AS b, generate_subscripts(bs, 1) - 1 AS seq FROM b)
+SELECT page_id, seq, b.k AS type, title AS section, {tokens("b.t")} AS tokens FROM u""",
     "section_carry": "SELECT conv_id, turn, coalesce(last_value(CASE WHEN role = 'user' THEN substr(text, 1, 30) END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING), '') AS section FROM conversations",
     "page_gap_islands": f"""
 WITH {P}, g AS (SELECT book, page, coalesce((page > lag(page) OVER (PARTITION BY book ORDER BY page) + 1)::INTEGER, 0) AS broken FROM p WHERE status <> 'failed'),
@@ -299,4 +317,60 @@ SELECT item_id, CASE WHEN len(found) > 0 THEN array_to_string(list_transform(fou
 WITH d AS (SELECT source, sha256(text) AS v FROM documents), f AS (SELECT source, string_agg(v, chr(10) ORDER BY v) || chr(10) AS content FROM d GROUP BY source)
 SELECT source, strlen(content) AS length, sha256(content) AS source_sha256 FROM f""",
     "fake_vectors": "SELECT doc_id, 64 AS dim, true AS unit FROM documents",
+    "day_windows": """
+WITH d AS (SELECT event_id, date_trunc('day', (ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles') AS d FROM events)
+SELECT event_id, strftime((d AT TIME ZONE 'America/Los_Angeles') AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS starts, strftime(((d + INTERVAL 1 DAY) AT TIME ZONE 'America/Los_Angeles') AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS ends FROM d""",
+    "retry_delays": "SELECT event_id, CASE WHEN event_id % 4 = 0 THEN event_id % 90 + 0.5 WHEN event_id % 4 = 1 THEN event_id % 30 END::DOUBLE AS seconds FROM events",
+    "vector_signals": f"""
+WITH {drawn("doc_id")},
+s AS (SELECT *, (h <= 2 AND w >= 120) OR (w <= 2 AND h >= 160) AS rule FROM drawn)
+SELECT book, page, count(w) FILTER (WHERE NOT rule) AS drawing_count, count(w) FILTER (WHERE rule) AS decorative_rule_count,
+       least(1.0, coalesce(sum(greatest(0, w) * greatest(0, h)) FILTER (WHERE NOT rule), 0) / 480000.0)::DOUBLE AS vector_density
+FROM sheets LEFT JOIN s USING (book, page) GROUP BY book, page""",
+    "span_density": f"""
+WITH {drawn("(doc_id + 1)", "doc_id")}
+SELECT book, page, coalesce(sum(greatest(0, w) * greatest(0, h)) FILTER (WHERE x0 % 7 <> 0), 0)::DOUBLE / 480000.0 AS text_density, count(w) FILTER (WHERE y0 % 4 = 0) AS invisible_ocr_spans
+FROM sheets LEFT JOIN drawn USING (book, page) GROUP BY book, page""",
+    "marginalia_flags": f"""
+WITH {P}, t AS (SELECT book, page, string_split(text || CASE page % 3 WHEN 0 THEN chr(10) || ' ' || page WHEN 1 THEN chr(10) || 'xiv' ELSE '' END, chr(10)) AS lines FROM p),
+e AS (SELECT book, page, 0 AS place, lines[1] AS text FROM t UNION ALL SELECT book, page, 1, lines[-1] FROM t),
+k AS (SELECT *, trim(regexp_replace(regexp_replace(lower(trim(regexp_replace(text, '[{WS}]+', ' ', 'g'))), '^[^{WORD}]*\\p{{Nd}}+[^{WORD}]*', ''), '[^{WORD}]*\\p{{Nd}}+[^{WORD}]*$', '')) AS key FROM e),
+n AS (SELECT book, count(*) AS pages FROM p GROUP BY book),
+again AS (SELECT book, key FROM k JOIN n USING (book) WHERE key <> '' GROUP BY book, key, pages HAVING count(*) >= greatest(3, ceil(pages * 0.004))),
+m AS (SELECT *, page % 4 <> 0 AND (book, key) IN (SELECT (book, key) FROM again) AS a, page % 4 <> 0 AND regexp_full_match(text, '[{WS}]*([0-9]+|[ivxlcdmIVXLCDM]+)[{WS}]*') AS num FROM k)
+SELECT book, page, place, a OR num AS ignored, CASE WHEN a THEN 'repeated_running_header_or_footer' WHEN num THEN 'isolated_printed_page_number' END AS ignore_reason FROM m""",
+    "page_files": f"""
+WITH {P}
+SELECT book, page, sha256(concat_ws(chr(10), '---', 'source_file: ' || CASE WHEN page % 5 <> 0 THEN '"A \\"quoted\\" \\\\ name of ' || book || '"' ELSE 'null' END, 'book_id: "' || book || '"', 'page: "' || page || '"', 'page_count: "9"',
+  'citation: "p. ' || page || '"', 'status: "' || status || '"', 'parser_backend: "stub"', 'conversion_route: "' || CASE WHEN page % 2 = 0 THEN 'native_structured' ELSE 'visual_llm' END || '"', 'llm_called: "' || CASE WHEN page % 2 = 1 THEN 'true' ELSE 'false' END || '"', '---')
+  || chr(10) || chr(10) || CASE status WHEN 'complete' THEN text WHEN 'failed' THEN '> [!failure] Page ' || page || ' could not be converted.' || chr(10)
+     ELSE '> [!warning] Native text fallback: layout, tables and figures may be missing.' || chr(10) || chr(10) || text END || chr(10)) AS file_sha256 FROM p""",
+    "citation_refresh": f"""
+WITH {P}, c AS (SELECT *, 'Old, p. ' || page || ']' AS old, 'New title, p. ' || page || ']' AS new FROM p)
+SELECT book AS book_id, page, CASE WHEN page % 3 = 0 THEN new ELSE old END AS citation,
+       sha256(CASE WHEN page % 3 = 0 THEN '[Source: ' || new || replace(text, old, new) || new ELSE '[Source: ' || old || text || old END) AS markdown_sha256 FROM c""",
+    "sidecar_pairs": """
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '{"a": ' || doc_id || '}' WHEN doc_id % 2 = 0 THEN '{"b": ' || doc_id || '}' END AS license_json FROM documents""",
+    "source_location": """
+SELECT doc_id, CASE WHEN doc_id % 4 <> 0 AND doc_id % 3 = 0 THEN '/was/' WHEN doc_id % 2 = 0 THEN '/processed/' WHEN doc_id % 5 <> 0 THEN '/failed/' END || 'f' || doc_id || '.pdf' AS located FROM documents""",
+    "source_paths": """
+SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'in/' || page_id WHEN 1 THEN string_split(url, '/')[3] ELSE 'C:/corpus2/' || page_id END AS path, sha256(regexp_replace(html, '</?[pP]>', '', 'g')) AS bare_sha256 FROM pages""",
+    "embedding_cache": """
+WITH k AS (SELECT doc_id, sha256(to_json({'content_sha256': sha256(text), 'dimensions': 8, 'model': 'deterministic-fake', 'task_type': 'RETRIEVAL_DOCUMENT'})::VARCHAR) AS cache_key FROM documents)
+SELECT doc_id, cache_key, cache_key IN (SELECT cache_key FROM k WHERE doc_id % 3 = 0) AS hit, 8 AS dim FROM k""",
+    "cache_files": "SELECT vec_id::VARCHAR AS cache_key, len(embedding) AS dim FROM embeddings WHERE vec_id % 4 <> 0",
+    "json_lines": """
+SELECT CASE WHEN event_id % 10 NOT IN (3, 5) THEN event_id END AS event_id, CASE WHEN event_id % 10 NOT IN (3, 5) THEN user_id END AS user_id,
+       CASE event_id % 10 WHEN 3 THEN '{"event_id": ' || event_id WHEN 5 THEN '[' || event_id || ']' END AS corrupt FROM events WHERE event_id % 10 <> 7""",
+    "missing_words": f"""
+WITH pairs AS (SELECT item_id, b.text AS item, d.text FROM benchmark b JOIN documents d ON d.doc_id = b.item_id),
+w AS (SELECT item_id, {WORDS("item")} AS ws, {WORDS("text")} AS ts FROM pairs),
+u AS (SELECT item_id, unnest(ws) AS token, generate_subscripts(ws, 1) AS pos FROM w),
+want AS (SELECT item_id, token, count(*) AS n, min(pos) AS pos FROM u GROUP BY ALL),
+have AS (SELECT item_id, token, count(*) AS h FROM (SELECT item_id, unnest(ts) AS token FROM w) GROUP BY ALL),
+m AS (SELECT item_id, token, n, pos, coalesce(h, 0) AS h FROM want LEFT JOIN have USING (item_id, token)),
+lacks AS (SELECT item_id, list(token ORDER BY pos) AS l FROM (SELECT item_id, token, pos, unnest(range(n - h)) FROM m WHERE n > h) GROUP BY item_id),
+s AS (SELECT item_id, sum(n)::BIGINT AS total, sum(least(n, h))::BIGINT AS matched FROM m GROUP BY item_id)
+SELECT item_id, coalesce(total, 0) AS total, coalesce(matched, 0) AS matched, CASE WHEN total > 0 THEN matched::DOUBLE / total ELSE 1 END AS coverage, coalesce(array_to_string(l[1:30], ' '), '') AS unmatched
+FROM pairs LEFT JOIN s USING (item_id) LEFT JOIN lacks USING (item_id)""",
 }
