@@ -289,6 +289,21 @@ WITH b AS {BOX("documents", "doc_id", "block", 30)}, f AS {BOX("benchmark", "ite
 SELECT b.page, block, min(figure) AS figure FROM b JOIN f ON b.page = f.page
 WHERE greatest(0, least(b.x1, f.x1) - greatest(b.x0, f.x0)) / greatest(1, least(b.x1 - b.x0, f.x1 - f.x0)) >= 0.4 AND b.y0 - f.y1 BETWEEN 0 AND 32
 GROUP BY b.page, block""",
+    "page_layout": f"""
+WITH {P},
+l AS (SELECT book, page, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM p),
+t AS (SELECT book, page, i, {strip("raw")} AS text, trim(regexp_replace(raw, '[{WS}]+', ' ', 'g')) AS line FROM l),
+k AS (
+  SELECT *, (i <= 1 OR i >= 33) AND regexp_full_match(text, '([0-9]+|[ivxlcdmIVXLCDM]+)') AS hidden, i = 0 AND length(text) <= 240 AS title,
+         regexp_matches(text, '^([-*+•◦▪‣]|\\p{{Nd}}+[.)])[{WS}]+') AS item FROM t WHERE text <> ''),
+m AS (
+  SELECT *, CASE WHEN title THEN '# ' || line WHEN item AND line[1:2] NOT IN ('- ', '* ', '+ ') THEN '- ' || regexp_replace(line, '^([-*+•◦▪‣]|\\p{{Nd}}+[.)])[{WS}]+', '') ELSE line END AS markdown,
+         NOT title AND item AND regexp_matches(line, '^\\p{{Nd}}') AS lost FROM k),
+g AS (
+  SELECT book, page, count(*) AS blocks, string_agg(markdown, chr(10) || chr(10) ORDER BY i) FILTER (WHERE NOT hidden) AS markdown,
+         count(*) FILTER (WHERE lost) AS lost, sum({count("text", f"[{WORD}]+")}) FILTER (WHERE NOT hidden) AS words FROM m GROUP BY book, page),
+r AS (SELECT p.book, p.page, text, coalesce(blocks, 0) AS blocks, coalesce(markdown, '') AS markdown, coalesce(lost, 0) > 0.02 * coalesce(words, 0) AS flat FROM p LEFT JOIN g ON g.book = p.book AND g.page = p.page)
+SELECT book, page, CASE WHEN flat THEN 'flat_safety_fallback' ELSE 'structured' END AS render_mode, blocks, 1 AS columns, sha256(CASE WHEN flat THEN {strip("text")} ELSE markdown END) AS markdown_sha256 FROM r""",
     "quota_window": "SELECT strftime((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles', '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1",
     "quota_admission": """
 WITH RECURSIVE e AS (
