@@ -145,6 +145,8 @@ def write_sqlite(path: str, books: DataFrame, pages: DataFrame, chunks: DataFram
         db.commit()
         if db.execute("PRAGMA integrity_check").fetchone()[0] != "ok":
             raise ValueError("the packed file fails its integrity check")
+        if orphan := db.execute("PRAGMA foreign_key_check").fetchone():
+            raise ValueError(f"the packed file has a row of {orphan[0]} that refers to no row of {orphan[2]}")
         words = db.execute("SELECT body FROM chunks ORDER BY rowid LIMIT 1").fetchone()
         from quire.functions.plain import match_query
 

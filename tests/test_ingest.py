@@ -165,3 +165,16 @@ def test_chunks_of_all_changed_books_whatever_their_number(spark, settings, monk
     books = ingest.ingest(spark, settings, converters.JsonDecoder, converters.TextConverter, now=NOW)
     ids = {r.book_id for r in books.collect()}
     assert len(ids) == 3 and {r.book_id for r in spark.read.parquet(settings.path("chunks")).select("book_id").collect()} == ids
+
+
+def test_pack_refuses_rows_that_refer_to_nothing(spark, tmp_path):
+    from quire.sources.sinks import write_sqlite
+
+    books = spark.createDataFrame([("b", "T", "x", 1, "owned")], "book_id string, title string, source_sha256 string, page_count int, license_status string")
+    pages = spark.createDataFrame([("other", 1, None, "complete", "c")], "book_id string, page int, printed_label string, status string, citation string")
+    chunks = spark.createDataFrame([], "chunk_id string, book_id string, chunk_index int, page_start int, page_end int, section string, body string, citation string")
+    vectors = spark.createDataFrame([], "vector_index long, chunk_id string, cache_key string, embedding array<float>")
+    path = tmp_path / "corpus.sqlite"
+    with pytest.raises(ValueError, match="refers to no row"):
+        write_sqlite(str(path), books, pages, chunks, vectors, {})
+    assert not path.exists()
