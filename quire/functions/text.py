@@ -13,6 +13,16 @@ WS = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x
 WORD = r"\p{L}\p{N}_"
 TOKEN = rf"[{WORD}]+|[^{WORD}{WS}]"
 
+#: Letters and digits of Unicode 14 and 15, which the regular expressions of Java 17 don't know (hexadecimal).
+_LATER = """
+870-887 889-88e 8b5 8c8-8c9 c5d cdd 170d 171f 1b4c 2c2f 2c5f 9ffd-9fff a7c0-a7c1 a7d0-a7d1 a7d3 a7d5-a7d9 a7f2-a7f4 10570-1057a 1057c-1058a
+1058c-10592 10594-10595 10597-105a1 105a3-105b1 105b3-105b9 105bb-105bc 10780-10785 10787-107b0 107b2-107ba 10f70-10f81 11071-11072 11075
+1123f-11240 11740-11746 11ab0-11abf 11f02 11f04-11f10 11f12-11f33 11f50-11f59 12f90-12ff0 1342f 13441-13446 16a70-16abe 16ac0-16ac9
+1aff0-1aff3 1aff5-1affb 1affd-1affe 1b11f-1b122 1b132 1b155 1d2c0-1d2d3 1df00-1df1e 1df25-1df2a 1e030-1e06d 1e290-1e2ad 1e4d0-1e4eb
+1e4f0-1e4f9 1e7e0-1e7e6 1e7e8-1e7eb 1e7ed-1e7ee 1e7f0-1e7fe 2a6de-2a6df 2b735-2b739 31350-323af
+"""
+LATER = "".join("-".join(rf"\x{{{c}}}" for c in r.split("-")) for r in _LATER.split())
+
 #: Names that a file may not have on some systems (fixed values).
 RESERVED = ["CON", "PRN", "AUX", "NUL", "COM1", "LPT1"]
 
@@ -55,7 +65,7 @@ def clean_metadata(text: Column) -> Column:
 
 def slug(text: Column, longest: int = 80) -> Column:
     """A file name of letters and digits of any script, '-' and '_'; everything else becomes one '-'."""
-    name = F.btrim(F.regexp_replace(F.regexp_replace(strip(text), r"[^\p{L}\p{N}_-]", "-"), "-+", "-"), F.lit(" .-"))
+    name = F.btrim(F.regexp_replace(F.regexp_replace(strip(text), rf"[^\p{{L}}\p{{N}}{LATER}_-]", "-"), "-+", "-"), F.lit(" .-"))
     name = F.rtrim(F.substring(name, 1, longest), F.lit(" .-"))
     name = F.when(name == "", F.lit("book")).otherwise(name)
     return F.when(F.upper(name).isin(RESERVED), F.concat(F.lit("book-"), name)).otherwise(name)
