@@ -17,6 +17,9 @@ repeat within contexts of equal anchor grams, and those form one part:
 Only hashes and places are shuffled for all documents; context bytes move for contexts that share an
 anchor but differ, one representative each.  The texts are shuffled twice, by id: to cut the contexts
 out and to remove the spans.  Between the phases finished shuffles are given back.
+
+Passages are found the same way, in words: a text is then the string of its words' 64-bit hashes, and
+windows, anchors and spans count words (``unit`` is 8 bytes; common prefixes are cut to whole words).
 """
 
 from __future__ import annotations
@@ -38,13 +41,30 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BLOCK = 1 << 22
 
 
+#: Bytes of a word's hash; which bytes are part of a word.
+_WORD = 8
+_IN_WORD = ~np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+
+
+def word_hashes(text: bytes) -> bytes:
+    """The hashes of the words ``[^\\x20\\x09-\\x0D]+``, one after the other."""
+    return b"".join(map(xxhash.xxh64_digest, text.split()))
+
+
+def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word and the byte after it."""
+    inside = np.concatenate([[False], _IN_WORD[np.frombuffer(text, dtype=np.uint8)], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
+
+
 def signed(x: int) -> int:
     return (x ^ (1 << 63)) - (1 << 63)
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
-    """A well-mixed hash of every ``gram``-byte substring; ``gram`` is a power of two."""
-    h, width = _BYTE_HASH[data], 1
+    """A well-mixed hash of every ``gram`` consecutive bytes or word hashes; ``gram`` is a power of two."""
+    h, width = _BYTE_HASH[data] if data.dtype == np.uint8 else data, 1
     while width < gram:
         h = (h[:-width] * _ODD) ^ (h[width:] + (h[:-width] >> np.uint64(29)))
         width *= 2
@@ -61,12 +81,12 @@ def sliding_min(values: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def anchors(text: bytes, length: int, gram: int) -> list[tuple[int, int, int]]:
-    """(first window, windows, anchor position) for each anchor of ``text``, in order."""
-    n_windows = len(text) - length + 1
+def anchors(text: bytes, length: int, gram: int, unit: int = 1) -> list[tuple[int, int, int]]:
+    """(first window, windows, anchor position) for each anchor of ``text``, in order, in units."""
+    n_windows = len(text) // unit - length + 1
     if n_windows < 1:
         return []
-    data, span, found = np.frombuffer(text, dtype=np.uint8), length - gram + 1, []
+    data, span, found = np.frombuffer(text, dtype=np.uint8 if unit == 1 else "<u8"), length - gram + 1, []
     for at in range(0, n_windows, _BLOCK):
         block = data[at : at + _BLOCK + length - 1]
         h = gram_hashes(block, gram)
@@ -109,16 +129,17 @@ def intervals(prefixes: list[int]) -> Iterator[tuple[int, int, int]]:
             stack.append((value, first))
 
 
-def covered(contexts: list[tuple[bytes, int]], length: int) -> list[list[tuple[int, int]]]:
-    """Spans of each distinct context (bytes, anchor offset) that lie in a repeat of ``length`` or more."""
+def covered(contexts: list[tuple[bytes, int]], length: int, unit: int = 1) -> list[list[tuple[int, int]]]:
+    """Spans of each distinct context (bytes, anchor offset) that lie in a repeat of ``length`` or more, in units."""
     spans: list[list[tuple[int, int]]] = [[] for _ in contexts]
-    right = [text[at:] for text, at in contexts]
-    left = [text[:at][::-1] for text, at in contexts]
+    right = [text[at * unit :] for text, at in contexts]
+    left = [text[: at * unit][::-1] for text, at in contexts]
     order = sorted(range(len(contexts)), key=right.__getitem__)
     prefixes = [_common(right[a], right[b]) for a, b in zip(order, order[1:], strict=False)]
     for height, first, last in intervals(prefixes):
         members = sorted(order[first : last + 1], key=left.__getitem__)
-        shared = [_common(left[a], left[b]) for a, b in zip(members, members[1:], strict=False)]
+        shared = [_common(left[a], left[b]) // unit for a, b in zip(members, members[1:], strict=False)]
+        height //= unit
         if height + max(shared) < length:
             continue
         for k, m in enumerate(members):  # the longest left extension that some other member has too
@@ -141,7 +162,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _occurrences(base: DataFrame, length: int, gram: int) -> DataFrame:
+def _occurrences(base: DataFrame, length: int, gram: int, unit: int) -> DataFrame:
     """Every anchor of every text: rows (id, th, a, c, at, windows, offset)."""
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
@@ -149,8 +170,9 @@ def _occurrences(base: DataFrame, length: int, gram: int) -> DataFrame:
         for batch in batches:
             out = {k: [] for k in ("id", "th", "a", "c", "at", "windows", "offset")}
             for i, th, text in zip(batch["id"], batch["th"], batch["text"], strict=True):
-                for at, windows, anchor in anchors(text, length, gram):
-                    a, c = digest(text[anchor : anchor + gram]), digest(text[at : at + windows - 1 + length], anchor - at)
+                data = text if unit == 1 else word_hashes(text)
+                for at, windows, anchor in anchors(data, length, gram, unit):
+                    a, c = digest(data[anchor * unit : (anchor + gram) * unit]), digest(data[at * unit : (at + windows - 1 + length) * unit], anchor - at)
                     for key, value in zip(out, (i, th, signed(a), signed(c), at, windows, anchor - at), strict=True):
                         out[key].append(value)
             yield out
@@ -159,7 +181,7 @@ def _occurrences(base: DataFrame, length: int, gram: int) -> DataFrame:
     return arrow_map(texts, rows, "id long, th long, a long, c long, at long, windows int, offset int", at_once=32)
 
 
-def _fetch(base: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+def _fetch(base: DataFrame, wanted: DataFrame, length: int, unit: int) -> DataFrame:
     """Context bytes of representatives: the columns of ``wanted`` and bytes."""
     fields = [c for c in wanted.columns if c not in ("id", "th")]
     lists = wanted.groupBy(F.col("id").alias("w_id"), F.col("th").alias("w_th")).agg(F.collect_list(F.struct(*fields)).alias("wanted"))
@@ -168,9 +190,10 @@ def _fetch(base: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
             out = {k: [] for k in ("id", "th", *fields, "bytes")}
-            for i, th, data, wants in zip(batch["id"], batch["th"], batch["text"], batch["wanted"], strict=True):
+            for i, th, text, wants in zip(batch["id"], batch["th"], batch["text"], batch["wanted"], strict=True):
+                data = text if unit == 1 else word_hashes(text)
                 for w in wants:
-                    for key, v in zip(out, (i, th, *w.values(), data[w["at"] : w["at"] + w["windows"] - 1 + length]), strict=True):
+                    for key, v in zip(out, (i, th, *w.values(), data[w["at"] * unit : (w["at"] + w["windows"] - 1 + length) * unit]), strict=True):
                         out[key].append(v)
             yield out
 
@@ -181,14 +204,14 @@ def _fetch(base: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 PLACED = "id long, th long, at long, spans array<struct<lo: long, hi: long>>"
 
 
-def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
+def _sorted_spans(contexts: DataFrame, length: int, unit: int) -> DataFrame:
     """The suffix-array way, a part at a time: rows (id, th, at, spans) of the contexts that occur once."""
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         part, places, now = [], [], None
 
         def flush() -> dict:
-            found = [(p, s) for p, s in zip(places, covered(part, length), strict=True) if s and p]
+            found = [(p, s) for p, s in zip(places, covered(part, length, unit), strict=True) if s and p]
             spans = [[{"lo": a, "hi": b} for a, b in s] for _, s in found]
             return {key: [p[k] for p, _ in found] for k, key in enumerate(("id", "th", "at"))} | {"spans": spans}
 
@@ -207,24 +230,25 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
     return arrow_map(columns.repartition("a").sortWithinPartitions("a"), rows, PLACED)
 
 
-def _strips(data: bytes, offset: int, length: int, size: int, within: tuple[int, int] | None) -> Iterator[tuple]:
+def _strips(data: bytes, offset: int, length: int, size: int, within: tuple[int, int] | None, unit: int) -> Iterator[tuple]:
     """Strips of ``size`` windows of a context: (first, windows here, core hash, union hash or None).
 
     Strips are aligned at the anchor, so that equal windows of two contexts fall in the same strip.
     The core is what all windows of the strip share, the union what any of them has; the union is
     None if the context ends within the strip.  ``within`` limits the windows, (first, last + 1).
     """
-    first, end = within or (0, len(data) - length + 1)
+    n_windows = len(data) // unit - length + 1
+    first, end = within or (0, n_windows)
     for strip in range((first - offset) // size, (end - 1 - offset) // size + 1):
         low = strip * size + offset
-        core = xxhash.xxh64_intdigest(data[low + size - 1 : low + length], 2 * (strip & 0xFFFF))
-        whole = low >= 0 and low + size <= len(data) - length + 1
-        union = xxhash.xxh64_intdigest(data[low : low + size - 1 + length], 2 * (strip & 0xFFFF) + 1) if whole else 0
+        core = xxhash.xxh64_intdigest(data[(low + size - 1) * unit : (low + length) * unit], 2 * (strip & 0xFFFF))
+        whole = low >= 0 and low + size <= n_windows
+        union = xxhash.xxh64_intdigest(data[low * unit : (low + size - 1 + length) * unit], 2 * (strip & 0xFFFF) + 1) if whole else 0
         a, b = max(low, first), min(low + size, end)
         yield a, b - a, signed(core), signed(union) if whole else None
 
 
-def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
+def _counted_spans(contexts: DataFrame, length: int, unit: int) -> DataFrame:
     """The counting way for crowded parts: rows (id, th, at, spans), at 0.
 
     Windows are counted by strips, and strips that are neither repeated nor new as a whole are cut
@@ -242,7 +266,7 @@ def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
                 limits = batch.get("limits") or [None] * len(batch["a"])
                 for a, i, th, ctx, offset, data, within in zip(*(batch[k] for k in ("a", "id", "th", "ctx", "offset", "bytes")), limits, strict=True):
                     for limit in within or [None]:
-                        for strip in _strips(data, offset, length, size, limit and (limit["w"], limit["w"] + limit["windows"])):
+                        for strip in _strips(data, offset, length, size, limit and (limit["w"], limit["w"] + limit["windows"]), unit):
                             for key, value in zip(out, (a, i, th, ctx, *strip), strict=True):
                                 out[key].append(value)
                 yield out
@@ -269,14 +293,16 @@ def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
     return found
 
 
-def repeat_spans(base: DataFrame, *, length: int = 400, gram: int = 32, crowd: int = 1000) -> DataFrame:
+def repeat_spans(base: DataFrame, *, length: int = 400, gram: int = 32, crowd: int = 1000, by_words: bool = False) -> DataFrame:
     """Occurrences of repeats: rows (id, th, spans array<struct<lo: long, hi: long>>), byte offsets.
 
+    With ``by_words``, ``length``, ``gram`` and the offsets count words.
+
     ``base`` has columns id, th (a hash of the text) and text.  Spans of a text may overlap.  The work
     is done in phases, each of which leaves a small table and gives its shuffle files back.
     """
-    spark = base.sparkSession
-    occurrences, path = stored(_occurrences(base, length, gram), "occurrences")
+    spark, unit = base.sparkSession, _WORD if by_words else 1
+    occurrences, path = stored(_occurrences(base, length, gram, unit), "occurrences")
     grams = occurrences.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("n > 1")
     mixed = (F.col("c0") != F.col("c1")).alias("mixed")
     repeated = cut(split_hot(occurrences, grams.select("a", "n", mixed), ["a"], "n", occurrences.count()).drop("n"))
@@ -294,11 +320,11 @@ def repeat_spans(base: DataFrame, *, length: int = 400, gram: int = 32, crowd: i
     in_copies = split_hot(repeated.where("mixed"), copies, ["a", "c"], "n", repeated.count())
     found = repeated.where("NOT mixed").select("id", "th", "at", whole).unionByName(in_copies.select("id", "th", "at", whole))
     if not wanted.isEmpty():
-        contexts, path = stored(_fetch(base, wanted.drop("c"), length), "contexts")
+        contexts, path = stored(_fetch(base, wanted.drop("c"), length, unit), "contexts")
         release(spark)
-        found = found.unionByName(_sorted_spans(contexts.where("NOT crowded"), length))
+        found = found.unionByName(_sorted_spans(contexts.where("NOT crowded"), length, unit))
         if not wanted.where("crowded").isEmpty():
-            found = found.unionByName(_counted_spans(contexts.where("crowded"), length))
+            found = found.unionByName(_counted_spans(contexts.where("crowded"), length, unit))
     moved = F.transform("spans", lambda s: F.struct((s["lo"] + F.col("at")).alias("lo"), (s["hi"] + F.col("at")).alias("hi")))
     spans = cut(found.groupBy("id", "th").agg(F.flatten(F.collect_list(moved)).alias("spans")))
     if not wanted.isEmpty():
@@ -317,9 +343,11 @@ def remove_repeats(
     length: int = 400,
     gram: int = 32,
     crowd: int = 1000,
+    words: int | None = None,
+    word_gram: int = 8,
     with_text: bool = True,
 ) -> DataFrame:
-    """Add ``out``: struct(n_bytes, n_removed, n_spans long, kept_sha256 string[, text string]).
+    """Add ``out``: struct(n_bytes, n_removed, n_spans long, kept_sha256 string[, n_passage_words long][, text string]).
 
     Every byte of the UTF-8 text is removed that a ``length``-byte string covers which also starts
     anywhere else, in any text of the table or further on in the same; strings are judged on the
@@ -327,6 +355,11 @@ def remove_repeats(
     removed runs; ``kept_sha256`` digests the remaining bytes.  ``text`` is the remaining bytes as
     text; pieces of characters that a span's edge cuts off are left out of it.
 
+    With ``words``, passages are looked for as well: ``n_passage_words`` counts the words (parted by
+    ASCII white space) that a run of ``words`` words covers which also starts anywhere else, however
+    few bytes it has.  They don't change the other figures, but ``text`` loses them too, from the
+    first byte of a maximal run to its last.
+
     A null text counts as empty; texts shorter than ``length`` stay whole; a repeated row makes the
     text repeat, so that it goes from both; rows with equal ids and different texts are told apart
     by the text; null ids are ordinary; an empty table gives an empty result.
@@ -335,28 +368,44 @@ def remove_repeats(
     base = docs.select(
         F.struct(*keep).alias("row"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(text_col).isNull().alias("is_null")
     ).withColumn("th", F.xxhash64("text"))
-    spans = repeat_spans(base, length=length, gram=gram, crowd=crowd).withColumnsRenamed({"id": "s_id", "th": "s_th"})
-    met = base.join(spans, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("th") == F.col("s_th")), "left").select(*base.columns, "spans")
+    spans = repeat_spans(base, length=length, gram=gram, crowd=crowd)
+    if words:
+        passages = repeat_spans(base, length=words, gram=word_gram, crowd=crowd, by_words=True).withColumnRenamed("spans", "passages")
+        both = spans.unionByName(passages, allowMissingColumns=True).groupBy("id", "th")
+        spans = both.agg(*(F.first(c, ignorenulls=True).alias(c) for c in ("spans", "passages")))
+    else:
+        spans = spans.withColumn("passages", F.lit(None).cast(spans.schema["spans"].dataType))
+    spans = spans.withColumnsRenamed({"id": "s_id", "th": "s_th"})
+    met = base.join(spans, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("th") == F.col("s_th")), "left").select(*base.columns, "spans", "passages")
     kind = base.schema["row"].dataType
 
+    def without(data: bytes, runs: list[tuple[int, int]]) -> bytes:
+        at, kept = 0, []
+        for a, b in runs:
+            kept.append(data[at:a])
+            at = b
+        return b"".join([*kept, data[at:]])
+
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
             found = []
-            for text, marks in zip(batch["text"], batch["spans"], strict=True):
+            for text, marks, more in zip(batch["text"], batch["spans"], batch["passages"], strict=True):
                 data = text.encode()
                 runs = merged([(m["lo"], m["hi"]) for m in marks or ()])
-                at, kept = 0, []
-                for a, b in runs:
-                    kept.append(data[at:a])
-                    at = b
-                left = b"".join([*kept, data[at:]])
+                left = without(data, runs)
                 one = {"n_bytes": len(data), "n_removed": len(data) - len(left), "n_spans": len(runs), "kept_sha256": hashlib.sha256(left).hexdigest()}
+                if words:
+                    passages = merged([(m["lo"], m["hi"]) for m in more or ()])
+                    one["n_passage_words"] = sum(b - a for a, b in passages)
+                    if with_text and passages:
+                        starts, ends = word_places(data)
+                        left = without(data, merged([*runs, *((int(starts[a]), int(ends[b - 1])) for a, b in passages)]))
                 found.append(one | ({"text": left.decode("utf-8", "ignore")} if with_text else {}))
             yield {"row": batch["row"], "was": [None if n else t for n, t in zip(batch["is_null"], batch["text"], strict=True)] if with_text else [None] * len(found), "out": found}
 
     from pyspark.sql import types as T
 
-    result = T._parse_datatype_string("n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text)
+    result = T._parse_datatype_string("n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", n_passage_words long" * bool(words) + ", text string" * with_text)
     done = arrow_map(met, rows, T.StructType([T.StructField("row", kind), T.StructField("was", T.StringType()), T.StructField("out", result)]), at_once=32)
     order = [F.col("was").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns if c != out and (with_text or c != text_col)]
     return done.select(*order, F.col("out").alias(out))

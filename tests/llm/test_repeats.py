@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -98,3 +99,41 @@ def test_anchors_cover_all_windows_of_a_long_text():
 
 def test_empty(spark):
     assert remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def brute_words(found, length):
+    """The words of each row that a repeated run of ``length`` words covers, and the text without those runs."""
+    count, split = Counter(), [[(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for _, t, *_ in found]
+    raw = [(t or "").encode() for _, t, *_ in found]
+    words = [[data[a:b] for a, b in places] for data, places in zip(raw, split, strict=True)]
+    for w in words:
+        count.update(tuple(w[i : i + length]) for i in range(len(w) - length + 1))
+    out = []
+    for (i, *_), data, w, places in zip(found, raw, words, split, strict=True):
+        runs = merged([(k, k + length) for k in range(len(w) - length + 1) if count[tuple(w[k : k + length])] > 1])
+        at, kept = 0, b""
+        for a, b in runs:
+            kept, at = kept + data[at : places[a][0]], places[b - 1][1]
+        out.append((i, sum(b - a for a, b in runs), (kept + data[at:]).decode()))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("crowd", [1000, 1])
+def test_passages_match_brute_force(spark, crowd):
+    found = passages(3) + [(200, "a b " * 40, "r", "o", 0, 0), (201, "\n".join("ab" * 5), "r", "o", 0, 0), (202, None, "r", "o", 0, 0)]
+    out = remove_repeats(spark.createDataFrame(found, SCHEMA), length=10**6, words=12, word_gram=4, crowd=crowd)
+    got = Counter((r.doc_id, r.repeats.n_passage_words, r.repeats.text) for r in out.collect())
+    assert got == brute_words(found, 12)
+    assert any(0 < n < len(t.split()) for _, n, t in got) and any(n == 0 for _, n, _ in got)
+
+
+def test_passages_of_few_bytes_go_and_leave_the_other_figures(spark):
+    r = random.Random(5)
+    prose = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+    long, short = prose(51), prose(50)
+    found = [(k, f"{prose(30)} {p.replace(' ', gap)} {prose(30)}", "r", "o", 0, 0) for k, (p, gap) in enumerate([(long, " "), (long, "\n"), (short, " "), (short, " ")])]
+    df = spark.createDataFrame(found, SCHEMA)
+    out = {x.doc_id: x.repeats for x in remove_repeats(df, words=51).collect()}
+    assert [out[k].n_passage_words for k in range(4)] == [51, 51, 0, 0]
+    assert long not in out[0].text and len(out[1].text.split()) == 60 and short in out[2].text
+    assert digests(remove_repeats(df, words=51)) == digests(remove_repeats(df)) == brute(found, 400)
