@@ -43,8 +43,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: long repeated passages go from the texts."""
-    return as_documents(remove_repeats(docs.select(*COLUMNS)), "repeats.text")
+    """Operator 6: repeats of 400 bytes go from the texts, and passages of over 50 words however few bytes they have."""
+    return as_documents(remove_repeats(docs.select(*COLUMNS), words=51), "repeats.text")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

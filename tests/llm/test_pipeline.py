@@ -62,6 +62,13 @@ def test_repeat_stage(results):
     assert len(results[4]) == len(results[3])
 
 
+def test_repeat_stage_takes_passages_of_over_50_words_below_400_bytes(spark):
+    passage = " ".join(f"w{k}" for k in range(59))
+    found = [(k, f"{' '.join(f'x{k}y{j}' for j in range(40))} {passage} end{k}", "en", "s", 0) for k in range(2)]
+    out = corpus_pipeline.repeat_dedup(spark, spark.createDataFrame(found, DOCS), "").collect()
+    assert len(passage) < 400 and len(out) == 2 and not any("w3 " in r.text for r in out) and all(f"end{r.doc_id}" in r.text for r in out)
+
+
 def test_packing_stage(results):
     got = defaultdict(int)
     for r in results[5]:
