@@ -63,11 +63,16 @@ def clean_metadata(text: Column) -> Column:
     return F.when(F.lower(trimmed).isin("", "none", "null"), F.lit(None)).otherwise(trimmed)
 
 
-def slug(text: Column, longest: int = 80) -> Column:
-    """A file name of letters and digits of any script, '-' and '_'; everything else becomes one '-'."""
+def hyphenated(text: Column, longest: int = 80) -> Column:
+    """Letters and digits of any script, '-' and '_'; everything else becomes one '-', none at the ends."""
     name = F.btrim(F.regexp_replace(F.regexp_replace(strip(text), rf"[^\p{{L}}\p{{N}}{LATER}_-]", "-"), "-+", "-"), F.lit(" .-"))
     name = F.rtrim(F.substring(name, 1, longest), F.lit(" .-"))
-    name = F.when(name == "", F.lit("book")).otherwise(name)
+    return F.when(name == "", F.lit("book")).otherwise(name)
+
+
+def slug(text: Column, longest: int = 80) -> Column:
+    """A hyphenated text as a file name that every system allows."""
+    name = hyphenated(text, longest)
     return F.when(F.upper(name).isin(RESERVED), F.concat(F.lit("book-"), name)).otherwise(name)
 
 
